@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpuloom.llm import bpe, token_counts
+from corpuloom.llm import bpe, exact_dedup, mixing, simhash, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,19 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_dedup(table(spark, sf_dir, "documents"))
+
+
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -25,9 +39,62 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
+        "op3_mixing": op3_mixing,
+        "op6_simhash": op6_simhash,
+        "op8_exact_dedup": op8_exact_dedup,
         "op10_bpe": op10_bpe,
     }
 
 
+# The draw of mixing.draw(): the first seven hex digits of an MD5.
+DRAW = "('0x' || substr(md5({} || '#42'), 1, 7))::BIGINT"
+
+OP3 = f"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, 2 * sum(size)::BIGINT AS cap,
+         list_extract([3, 1, 2], ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT)::BIGINT AS weight
+  FROM sized GROUP BY source
+), totals AS (SELECT sum(source_size)::BIGINT AS total FROM sources)
+, levels AS (
+  SELECT s.source, s.cap, s.weight,
+         3 * t.total - 2 * coalesce(sum(cap) OVER lower, 0)::BIGINT AS num, 2 * sum(weight) OVER upper AS den,
+         row_number() OVER (ORDER BY s.cap::DOUBLE / s.weight, s.source NULLS LAST) AS place
+  FROM sources s, totals t
+  WINDOW lower AS (ORDER BY s.cap::DOUBLE / s.weight, s.source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         upper AS (ORDER BY s.cap::DOUBLE / s.weight, s.source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), level AS (
+  SELECT arg_min(num, place) AS num, arg_min(den, place) AS den FROM levels
+  WHERE cap::HUGEINT * den > num::HUGEINT * weight
+), aimed AS (
+  SELECT s.source, s.source_size, CASE WHEN l.num IS NULL THEN s.cap::DOUBLE ELSE least(s.cap::DOUBLE, (s.weight * l.num)::DOUBLE / l.den::DOUBLE) END AS target
+  FROM sources s, level l
+), steps AS (
+  SELECT *, CASE WHEN source_size > 0 THEN least(round(target / source_size * 67108864), 134217728)::BIGINT ELSE 0 END AS step,
+         {DRAW.format("coalesce(source, '')")} % 67108864 AS start
+  FROM aimed
+), chanced AS (
+  SELECT *, {DRAW.format("coalesce(doc_id::VARCHAR, '')")} AS chance FROM sized
+), placed AS (
+  SELECT c.doc_id, c.source, c.size, s.source_size, s.target, s.step,
+         s.step * row_number() OVER (PARTITION BY c.source ORDER BY length(bin(c.size)) * 64 + chance % 64, c.size, chance, doc_id) + s.start AS upto
+  FROM chanced c JOIN steps s ON c.source IS NOT DISTINCT FROM s.source
+)
+SELECT doc_id, source, size, source_size, target,
+       (upto >> 26) - ((upto - step) >> 26) AS copies, ((upto >> 26) - ((upto - step) >> 26)) * size AS taken
+FROM placed
+"""
+
+OP8 = r"""
+WITH t AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents
+), k AS (
+  SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size FROM t
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_mixing": OP3, "op8_exact_dedup": OP8}

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -33,6 +33,17 @@ def stored(df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Up to so many keys (a few dozen bytes each) are broadcast once they have been counted; beyond it they are joined by a shuffle.
+BROADCAST_KEYS = 2_000_000
+
+
+def without_ids(rows: DataFrame, id: str, gone: DataFrame) -> DataFrame:
+    """rows whose id isn't in gone (one column); a null id in gone removes null ids. Texts move only if gone is large."""
+    gone = stored(gone.toDF("__gone").distinct())
+    few = gone.count() <= BROADCAST_KEYS
+    return rows.join(F.broadcast(gone) if few else gone, rows[id].eqNullSafe(F.col("__gone")), "left_anti")
+
+
 def attach_by_group(rows: DataFrame, groups: DataFrame, key: str, size: str, n_rows: int, most_hot: int = 1024) -> DataFrame:
     """rows left join groups on key, where groups has one row a key and its number of rows in `size`.
 
@@ -112,9 +123,3 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components didn't settle in {most_rounds} rounds")
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
-
-def any_of(*columns: Column) -> Column:
-    out = columns[0]
-    for c in columns[1:]:
-        out = out | c
-    return out

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuloom.llm import bpe, exact_dedup, mixing, simhash, token_counts
+from corpuloom.llm import bpe, embeddings, exact_dedup, html, mixing, quality, simhash, token_counts, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,31 +19,54 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_texts(table(spark, sf_dir, "pages"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+RULES = (
+    urls.Rule("allow", "com", "/"),
+    urls.Rule("block", "example.com", "/en/"),
+    urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"),
+    urls.Rule("block", "net", "/fr/"),
+)
+
+
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op1_token_counts": op1_token_counts,
-        "op3_mixing": op3_mixing,
-        "op6_simhash": op6_simhash,
-        "op8_exact_dedup": op8_exact_dedup,
-        "op10_bpe": op10_bpe,
-    }
+    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_mixing, op4_html, op5_quality, op6_simhash, op7_embeddings, op8_exact_dedup, op9_urls, op10_bpe)}
 
 
 # The draw of mixing.draw(): the first seven hex digits of an MD5.
@@ -96,5 +119,23 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k
 """
 
 
+# All pairs of the test table's few hundred vectors; components by walking the links.
+OP7 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(d.n_links, 0)::BIGINT AS n_links, coalesce(l.component_id, e.vec_id) AS component_id,
+       e.vec_id = coalesce(l.component_id, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN degree d ON d.a = e.vec_id LEFT JOIN least l ON l.a = e.vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": OP3, "op8_exact_dedup": OP8}
+    return {"op3_mixing": OP3, "op7_embeddings": OP7, "op8_exact_dedup": OP8}

@@ -5,11 +5,204 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpuloom.functions import text as T
+from corpuloom.operators import articles, association, collocations, markup, ngrams, sentences, tokens
+from corpuloom.plans import duck
+
+CUTOFF = 50
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def line_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, line_id, line, words): the lines of the documents, parted at white space."""
+    lines = sentences.lines(table(spark, sf_dir, "documents"))
+    return lines.withColumn("words", T.words_of(F.col("line")))
+
+
+def counted(n: int):
+    return lambda spark, sf_dir: ngrams.ngram_counts(line_words(spark, sf_dir), n=n)
+
+
+def halves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    rows = line_words(spark, sf_dir)
+    return [ngrams.ngram_counts(rows.where(F.col("doc_id") % 2 == k), n=2) for k in (0, 1)]
+
+
+def count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram counts as text lines, among them headers without a tab."""
+    counts = counted(1)(spark, sf_dir)
+    rows = counts.select(F.concat_ws("\t", F.col("cnt").cast("string"), "ngram").alias("value"))
+    return rows.unionByName(ngrams.total(counts).select(F.col("total").cast("string").alias("value")))
+
+
+def neighbour_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of under 8192 bytes as sentences of one paragraph a document."""
+    rows = sentences.short_lines(line_words(spark, sf_dir))
+    return rows.select("doc_id", F.lit(0).alias("para_id"), F.col("line_id").alias("sent_id"), "words")
+
+
+def tokenized(**how):
+    def query(spark, sf_dir):
+        rows = sentences.lines(table(spark, sf_dir, "documents"))
+        out = tokens.tokens(rows, "line", **how)
+        return out.select("doc_id", "line_id", "rendered", F.size("words").cast("long").alias("n_words"))
+
+    return query
+
+
+def split(name: str, id: str):
+    def query(spark, sf_dir):
+        rows = table(spark, sf_dir, name)
+        if name == "conversations":
+            rows = rows.withColumn("doc_id", F.col("conv_id") * 1000 + F.col("turn"))
+        return sentences.sentences(rows).select("doc_id", "para_id", "sent_id", "sentence")
+
+    return query
+
+
+def token_bigrams(spark, sf_dir):
+    """The whole way: documents, sentences, tokens, bigrams."""
+    rows = sentences.sentences(table(spark, sf_dir, "documents"))
+    return ngrams.ngram_counts(tokens.tokens(rows, "sentence"), n=2)
+
+
+def paragraph_numbering(spark, sf_dir):
+    """Paragraph numbers of lines, an empty line put behind every third line of a document."""
+    lines = sentences.lines(table(spark, sf_dir, "documents"))
+    line = F.when(F.col("line_id") % 3 == 2, F.array("line", F.lit(""))).otherwise(F.array("line"))
+    rows = lines.select("doc_id", "line_id", F.posexplode(line).alias("k", "line")).select("doc_id", (F.col("line_id") * 2 + F.col("k")).alias("line_id"), "line")
+    return sentences.number_paragraphs(rows).select("doc_id", "line_id", F.col("para_id").cast("long").alias("para_id"))
+
+
+def collocations_by_word(spark, sf_dir):
+    pairs = collocations.collocations(neighbour_rows(spark, sf_dir))
+    return pairs.groupBy("w").agg(F.count("*").alias("partners"), F.sum("cnt").alias("cnt"))
+
+
+def frequent_pairs(spark, sf_dir):
+    rows = neighbour_rows(spark, sf_dir)
+    unigrams = ngrams.dictionary(ngrams.ngram_counts(line_words(spark, sf_dir), n=1))
+    kept = collocations.pruned(rows, unigrams, CUTOFF)
+    return collocations.collocations(kept), unigrams
+
+
+def collocations_frequent(spark, sf_dir):
+    return frequent_pairs(spark, sf_dir)[0]
+
+
+def association_cutoff(spark, sf_dir):
+    pairs, unigrams = frequent_pairs(spark, sf_dir)
+    total = ngrams.total(unigrams).first()["total"]
+    scores = association.association(pairs, unigrams, total, CUTOFF)
+    return scores.select(F.round("norm_mi", 6).alias("norm_mi"), F.round("mi", 4).alias("mi"), "cnt", "w", "v")
+
+
+def association_top(spark, sf_dir):
+    """The ten partners of highest score of the twenty most frequent words."""
+    from pyspark.sql import Window
+
+    pairs, unigrams = frequent_pairs(spark, sf_dir)
+    some = unigrams.orderBy(F.desc("cnt"), "word").limit(20).select(F.col("word").alias("w"))
+    scores = association.association(pairs, unigrams, ngrams.total(unigrams).first()["total"], CUTOFF).join(F.broadcast(some), "w", "left_semi")
+    ranked = scores.withColumn("place", F.row_number().over(Window.partitionBy("w").orderBy(F.desc(F.round("mi", 4)), "v")))
+    return ranked.where("place <= 10").select("w", "v", "cnt", F.col("place").cast("long").alias("place"))
+
+
+def titled(spark, sf_dir):
+    """Wiki pages made of the documents: some of other namespaces, some redirects, some without text."""
+    docs = table(spark, sf_dir, "documents")
+    prefix = F.element_at(F.array(*map(F.lit, ["", "Category:", "wikipedia:", "File:", "TEMPLATE:", "Portal:"])), (F.col("doc_id") % 6 + 1).cast("int"))
+    title = F.concat(prefix, F.replace(F.substring("text", 1, 30), F.lit("\n"), F.lit(" / ")))
+    return docs.select("doc_id", title.alias("title"), F.when(F.col("doc_id") % 11 != 0, F.col("text")).alias("markup"), (F.col("doc_id") % 7 == 0).alias("is_redirect"))
+
+
+def namespace_redirect_filter(spark, sf_dir):
+    return articles.articles(titled(spark, sf_dir)).select("doc_id", "title")
+
+
+def title_slug(spark, sf_dir):
+    return titled(spark, sf_dir).select("doc_id", T.title_slug(F.col("title")).alias("slug"))
+
+
+def slug_collisions(spark, sf_dir):
+    return articles.with_slugs(titled(spark, sf_dir)).select("slug", "doc_id", F.col("n_alike").cast("long").alias("n_alike"))
+
+
+def html_unescape(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", T.unescape_common(F.col("html")).alias("html"))
+
+
+def html_unescape_full(spark, sf_dir):
+    return markup.unescape(table(spark, sf_dir, "pages").select("page_id", "html"), "html")
+
+
+def synthetic_markup(spark, sf_dir):
+    """Wiki markup made of the documents: headings, links, files, lists, templates, references, emphasis, breaks."""
+    docs = table(spark, sf_dir, "documents")
+    lines = F.split("text", "\n", -1)
+    marked = F.transform(
+        lines,
+        lambda x, k: F.when(k % 5 == 0, F.concat(F.lit("== "), F.substring(x, 1, 20), F.lit(" ==\n'''"), x, F.lit("'''")))
+        .when(k % 5 == 1, F.concat(F.lit("* [[Target|"), x, F.lit("]]<ref>note</ref>")))
+        .when(k % 5 == 2, F.concat(F.lit("{{box|a={{b}}}}"), x, F.lit(" [[File:x.png|thumb|"), F.substring(x, 1, 15), F.lit("]]")))
+        .when(k % 5 == 3, F.concat(F.lit(":"), x, F.lit("<br/>next <!-- hidden -->")))
+        .otherwise(x),
+    )
+    return docs.select("doc_id", F.array_join(marked, "\n").alias("markup"))
+
+
+def textify(spark, sf_dir):
+    return markup.textify(synthetic_markup(spark, sf_dir)).select("doc_id", "text", F.col("error.message").alias("error"))
+
+
+def malformed_counts(spark, sf_dir):
+    rows = count_lines(spark, sf_dir)
+    good = rows.where(F.contains("value", F.lit("\t")))
+    return good.select(T.key_of(F.col("value")).alias("ngram"), T.count_of(F.col("value")).alias("cnt"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "ngram_unigram": counted(1),
+    "ngram_bigram": counted(2),
+    "ngram_trigram": counted(3),
+    "ngram_total": lambda s, d: ngrams.total(counted(2)(s, d)),
+    "ngram_freq_filter": lambda s, d: ngrams.at_least(counted(2)(s, d)),
+    "ngram_filtered_total": lambda s, d: ngrams.filtered_with_total(counted(2)(s, d))[1],
+    "ngram_sort_topk": lambda s, d: ngrams.top(counted(2)(s, d), 100),
+    "merge_counts": lambda s, d: ngrams.merge(*halves(s, d)),
+    "total_check": lambda s, d: ngrams.check_total(counted(2)(s, d), ngrams.total(ngrams.merge(*halves(s, d)))),
+    "malformed_counts": malformed_counts,
+    "token_bigrams": token_bigrams,
+    "tokenize_default": tokenized(),
+    "tokenize_parens": tokenized(parens=True),
+    "tokenize_keep": tokenized(keep=",?!"),
+    "tokenize_keepcase": tokenized(keep_case=True),
+    "sentences": split("documents", "doc_id"),
+    "sentences_conversations": split("conversations", "conv_id"),
+    "long_line_filter": lambda s, d: sentences.short_lines(sentences.lines(table(s, d, "documents"))).select("doc_id", "line_id", F.octet_length("line").cast("long").alias("n_bytes")),
+    "blank_line_filter": lambda s, d: sentences.not_blank(sentences.lines(table(s, d, "documents"))).groupBy("doc_id").agg(F.count("*").alias("n_lines")),
+    "paragraph_numbering": paragraph_numbering,
+    "collocations_by_word": collocations_by_word,
+    "collocations_frequent": collocations_frequent,
+    "association_cutoff": association_cutoff,
+    "association_top": association_top,
+    "namespace_redirect_filter": namespace_redirect_filter,
+    "title_slug": title_slug,
+    "slug_collisions": slug_collisions,
+    "html_unescape": html_unescape,
+    "html_unescape_full": html_unescape_full,
+    "textify": textify,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return duck.oracles(CUTOFF)

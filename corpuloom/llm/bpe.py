@@ -35,13 +35,14 @@ class ForcedBoundaryBpe:
 
     def __init__(self, path: str):
         import regex
-        from tokenizers import models
+        from tokenizers import Tokenizer, models
 
         spec = json.load(open(path, encoding="utf-8"))
         model = spec["model"]
         kinds = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
         if model["type"] != "BPE" or kinds != ["NFC", "Replace", "Lowercase"] or spec.get("decoder") is not None or not model["end_of_word_suffix"]:
             raise ValueError("not a lower-casing word-end BPE vocabulary without a decoder")
+        self.library = Tokenizer.from_file(path)
         self.vocab: dict[str, int] = model["vocab"]
         self.end: str = model["end_of_word_suffix"]
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
@@ -64,18 +65,26 @@ class ForcedBoundaryBpe:
         at = [k for k in range(1, len(word)) if (word[k - 1], word[k]) not in self.inside]
         return [word[a:b] for a, b in zip([0, *at], [*at, len(word)])] if at else [word]
 
-    def normalised(self, text: str) -> str:
+    def words_of(self, text: str) -> list[str]:
+        """The pre-tokenizer's words in byte letters.
+
+        Below U+0250 every version of Unicode agrees on letters, digits and cases; other texts are normalised and
+        parted by the library, whose version of Unicode may not be Python's.
+        """
         if text.isascii():
-            return text.lower()
-        text = unicodedata.normalize("NFC", text)
-        # Letter by letter where a sigma stands: str.lower() has a form for a word's end that the library hasn't.
-        return "".join([c.lower() for c in text]) if "Σ" in text else text.lower()
+            text = text.lower()
+        elif max(text) < "\u0250":
+            text = unicodedata.normalize("NFC", text).lower()
+        else:
+            return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))]
+        letters = self.letters
+        return ["".join([letters[b] for b in word.encode()]) for word in self.words.findall(text)]
 
     def plain(self, text: str) -> list[int]:
         out: list[int] = []
-        letters, inner, last = self.letters, self.inner.tokenize, self.last.tokenize
-        for word in self.words.findall(self.normalised(text)):
-            *heads, tail = self.cut("".join([letters[b] for b in word.encode()]))
+        inner, last = self.inner.tokenize, self.last.tokenize
+        for word in self.words_of(text):
+            *heads, tail = self.cut(word)
             for fragment in heads:
                 out += [t.id for t in inner(fragment)]
             out += [t.id for t in last(tail)]

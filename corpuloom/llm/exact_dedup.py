@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuloom.llm.shared import BROADCAST_KEYS, attach_by_group, stored, without_ids
+from corpuloom.llm.shared import BROADCAST_KEYS, attach_by_group, row_key, stored, without_rows
 
 
 def stripped(text: Column) -> Column:
@@ -34,9 +34,9 @@ def sha256(stripped_text: Column) -> Column:
 
 
 def flush_runs(docs: DataFrame, text: str = "text", id: str = "doc_id", digest: Callable[[Column], Column] = sha256) -> DataFrame:
-    """The runs: (id, digest, chars), each file sorted by digest and with a Bloom filter on it."""
+    """The runs: (id, digest, chars, row), each file sorted by digest and with a Bloom filter on it."""
     key = stripped(F.col(text))
-    entries = docs.select(F.col(id).alias("id"), digest(key).alias("digest"), F.coalesce(F.char_length(text), F.lit(0)).alias("chars"))
+    entries = docs.select(F.col(id).alias("id"), digest(key).alias("digest"), F.coalesce(F.char_length(text), F.lit(0)).alias("chars"), row_key(text).alias("row"))
     options = {"parquet.bloom.filter.enabled#digest": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
     return stored(entries.sortWithinPartitions("digest"), options)
 
@@ -73,6 +73,11 @@ def exact_dedup(docs: DataFrame, text: str = "text", id: str = "doc_id", digest:
     id that stays are all kept. An empty table gives an empty table; other columns are neither read nor returned, so
     clashing names are harmless. digest is a function of the stripped text; a weak one only costs time.
     """
+    return with_keepers(docs, text, id, digest).drop("row").withColumnRenamed("id", id)
+
+
+def with_keepers(docs: DataFrame, text: str, id: str, digest: Callable[[Column], Column] = sha256) -> DataFrame:
+    """(id, keep_id, group_size, kept, digest, row)."""
     runs = flush_runs(docs, text, id, digest)
     n_rows = runs.count()
     hits = stored(compact(runs).where("group_size > 1").select("digest"))
@@ -84,15 +89,18 @@ def exact_dedup(docs: DataFrame, text: str = "text", id: str = "doc_id", digest:
     told = runs
     if n_ambiguous:
         told = runs.join(ambiguous, "digest", "left_anti")
-    out = attach_by_group(told, clean, "digest", "group_size", n_rows).select("id", "digest", F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"))
+    out = attach_by_group(told, clean, "digest", "group_size", n_rows).select("id", "row", "digest", F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"))
     if n_ambiguous:
         key = stripped(F.col(text))
-        rows = docs.select(F.col(id).alias("id"), digest(key).alias("digest"), F.sha2(key, 512).alias("body")).join(ambiguous, "digest", "left_semi")
+        rows = docs.select(F.col(id).alias("id"), digest(key).alias("digest"), F.sha2(key, 512).alias("body"), row_key(text).alias("row")).join(ambiguous, "digest", "left_semi")
         split = classes.join(ambiguous, "digest", "left_semi").select("body", F.col("keep.id").alias("keep_id"), "group_size")
-        out = out.unionByName(attach_by_group(rows, split, "body", "group_size", n_rows).select("id", "digest", "keep_id", "group_size"))
-    return out.select(F.col("id").alias(id), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
+        out = out.unionByName(attach_by_group(rows, split, "body", "group_size", n_rows).select("id", "row", "digest", "keep_id", "group_size"))
+    return out.select("id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest", "row")
 
 
 def kept_rows(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """docs without the rows that an equal text replaces; all columns of docs. Rows that repeat whole stay whole."""
-    return without_ids(docs, id, exact_dedup(docs, text, id).where("not kept").select(F.col(id).alias("gone")))
+    """The rows of docs that stay, all columns. Of rows that have that id in common and the very text, one stays."""
+    found = stored(with_keepers(docs, text, id))
+    kept = found.where("kept")
+    repeated = kept.where("group_size > 1").groupBy("id", "row").agg(F.count("*").alias("n")).where("n > 1")
+    return without_rows(docs, found.where("not kept"), repeated, text, id)

@@ -21,6 +21,6 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     known = labels.where(F.col(label).isin(0, 1) & F.col(id).isNotNull() & (fold(F.col(id), folds) != held_out)).groupBy(F.col(id).alias("__id")).agg(F.max(label).alias("__y"))
     order = (F.xxhash64("__id"), F.col("__id"))
     chosen = known.where("__y = 1").orderBy(*order).limit(most_rows).unionByName(known.where("__y = 0").orderBy(*order).limit(most_rows))
-    rows = docs.where(F.coalesce(F.length(text), F.lit(0)) <= most_chars).join(F.broadcast(chosen), F.col(id) == F.col("__id"))
-    got = rows.select("__id", "__y", F.col(text).alias("__text")).toArrow().sort_by([("__id", "ascending"), ("__text", "ascending")])
+    rows = docs.select(F.col(id).alias("__doc"), F.col(text).alias("__text")).where(F.coalesce(F.length("__text"), F.lit(0)) <= most_chars)
+    got = rows.join(F.broadcast(chosen), F.col("__doc") == F.col("__id")).select("__id", "__y", "__text").toArrow().sort_by([("__id", "ascending"), ("__text", "ascending")])
     return [x or "" for x in got.column("__text").to_pylist()], got.column("__y").to_pylist()

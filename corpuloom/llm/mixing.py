@@ -14,7 +14,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuloom.llm.shared import stored
+from corpuloom.llm.shared import inner_names, stored
 
 #: Expected copies are whole multiples of 1 / UNIT: sums are exact, so a rerun or a lost task can't change the mix.
 UNIT = 1 << 26
@@ -121,13 +121,14 @@ def mixed_documents(docs: DataFrame, text: str = "text", id: str = "doc_id", sou
 
     Rows that agree in id, source and size share the copies that the mix takes of them as evenly as can be.
     """
-    keys = [F.col(id).alias("__id"), F.col(source).alias("__source"), F.col("size").alias("__size")]
-    drawn = stored(mix(docs, text, id, source, **how).select(*keys, "copies").groupBy("__id", "__source", "__size").agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows")).where("__copies > 0"))
-    same = docs[id].eqNullSafe(drawn["__id"]) & docs[source].eqNullSafe(drawn["__source"]) & (words(docs[text]) == drawn["__size"])
-    out = docs.join(drawn.where("__rows = 1"), same).withColumn("__take", F.col("__copies"))
-    if drawn.where("__rows > 1").limit(1).count():
-        alike = Window.partitionBy("__id", "__source", "__size").orderBy(text)
-        more = docs.join(drawn.where("__rows > 1"), same).withColumn("__k", F.row_number().over(alike))
-        more = more.withColumn("__take", F.floor(F.col("__copies") / F.col("__rows")) + (F.col("__k") <= F.col("__copies") % F.col("__rows")).cast("long")).drop("__k").where("__take > 0")
-        out = out.unionByName(more)
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__take")))).select(*[F.col(c) for c in docs.columns])
+    drawn = mix(docs, text, id, source, **how).select(F.col(id).alias("id"), F.col(source).alias("source"), "size", "copies")
+    drawn = stored(drawn.groupBy("id", "source", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0"))
+    rows = inner_names(docs)
+    c_id, c_text, c_source = (f"c{docs.columns.index(c)}" for c in (id, text, source))
+    same = F.col(c_id).eqNullSafe(F.col("id")) & F.col(c_source).eqNullSafe(F.col("source")) & (words(F.col(c_text)) == F.col("size"))
+    out = rows.join(drawn.where("rows = 1"), same).withColumn("take", F.col("copies"))
+    if drawn.where("rows > 1").limit(1).count():
+        alike = Window.partitionBy("id", "source", "size").orderBy(c_text)
+        more = rows.join(drawn.where("rows > 1"), same).withColumn("k", F.row_number().over(alike))
+        out = out.unionByName(more.withColumn("take", F.floor(F.col("copies") / F.col("rows")) + (F.col("k") <= F.col("copies") % F.col("rows")).cast("long")).drop("k").where("take > 0"))
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("take")))).select(*rows.columns).toDF(*docs.columns)

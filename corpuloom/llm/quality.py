@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from corpuloom.llm.labelled import fold, training_sample
+from corpuloom.llm.shared import inner_names
 
 UPPER, LOWER, DIGIT, STOP, MARK, SYMBOL, HIGH, BLANK = range(8)
 KIND = np.full(256, SYMBOL, np.uint8)
@@ -227,6 +228,5 @@ def quality(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int =
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, text: str = "text", id: str = "doc_id", **how) -> DataFrame:
     """The rows of docs with a score of at least threshold, all columns of docs; scored where they are, without a join."""
     model = fitted(docs, labels, text=text, id=id, **how)
-    inner = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
-    out = score(inner, model, f"c{docs.columns.index(text)}").where(F.col("score") >= threshold).drop("score")
+    out = score(inner_names(docs), model, f"c{docs.columns.index(text)}").where(F.col("score") >= threshold).drop("score")
     return out.toDF(*docs.columns)

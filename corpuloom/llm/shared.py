@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -37,11 +37,36 @@ def stored(df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
 BROADCAST_KEYS = 2_000_000
 
 
-def without_ids(rows: DataFrame, id: str, gone: DataFrame) -> DataFrame:
-    """rows whose id isn't in gone (one column); a null id in gone removes null ids. Texts move only if gone is large."""
-    gone = stored(gone.toDF("__gone").distinct())
-    few = gone.count() <= BROADCAST_KEYS
-    return rows.join(F.broadcast(gone) if few else gone, rows[id].eqNullSafe(F.col("__gone")), "left_anti")
+def hint_if_few(keys: DataFrame) -> DataFrame:
+    """A stored table of keys, to be broadcast if it was counted to be small."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
+def inner_names(docs: DataFrame) -> DataFrame:
+    """docs with the columns c0, c1, ...: whatever docs calls its own, nothing here clashes with it."""
+    return docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+
+
+def row_key(text: str) -> Column:
+    """With the id, what rows are told apart by where texts shouldn't travel."""
+    return F.xxhash64(F.col(text))
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, repeated: DataFrame, text: str, id: str) -> DataFrame:
+    """docs without the rows in gone, and with one each of those in repeated; both are (id, row) with row_key().
+
+    Texts are moved only if gone has more than BROADCAST_KEYS rows; of repeated rows, only those rows are.
+    """
+    rows = inner_names(docs)
+    c_id, c_text = (f"c{docs.columns.index(c)}" for c in (id, text))
+    gone, repeated = stored(gone.select("id", "row").distinct()), stored(repeated.select("id", "row").distinct())
+    same = lambda keys: F.col(c_id).eqNullSafe(keys["id"]) & (row_key(c_text) == keys["row"])
+    hinted = hint_if_few(gone)
+    rows = rows.join(hinted, same(hinted), "left_anti")
+    if repeated.limit(1).count():
+        hinted = hint_if_few(repeated)
+        rows = rows.join(hinted, same(hinted), "left_anti").unionByName(rows.join(hinted, same(hinted), "left_semi").dropDuplicates([c_id, c_text]))
+    return rows.toDF(*docs.columns)
 
 
 def attach_by_group(rows: DataFrame, groups: DataFrame, key: str, size: str, n_rows: int, most_hot: int = 1024) -> DataFrame:

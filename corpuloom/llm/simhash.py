@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuloom.llm.shared import attach_by_group, components, stored, without_ids
+from corpuloom.llm.shared import attach_by_group, components, row_key, stored, without_rows
 
 RADIUS = 3
 #: (lowest bit, number of bits) of the blocks that are blanked out in turn.
@@ -56,16 +56,16 @@ def fingerprint(text: bytes | None, width: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", id: str = "doc_id", width: int = 3, seed: int = 42) -> DataFrame:
-    """(id, fp): fp as a signed long. Null and empty texts have fingerprint zero."""
+    """(id, fp, row): fp as a signed long, row as in shared.row_key(). Null and empty texts have fingerprint zero."""
 
     def hashed(batches):
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            texts = batch.column(2).cast(pa.binary()).to_pylist()
             fps = np.array([fingerprint(x, width, seed) for x in texts], dtype=np.uint64).view(np.int64)
-            yield pa.record_batch([batch.column(0), pa.array(fps)], ["id", "fp"])
+            yield pa.record_batch([batch.column(0), pa.array(fps), batch.column(1)], ["id", "fp", "row"])
 
     kind = docs.schema[id].dataType.simpleString()
-    return docs.select(F.col(id).alias("id"), F.col(text).alias("text")).mapInArrow(hashed, f"id {kind}, fp long")
+    return docs.select(F.col(id).alias("id"), row_key(text).alias("row"), F.col(text).alias("text")).mapInArrow(hashed, f"id {kind}, fp long, row long")
 
 
 def key_of(j: int):
@@ -195,6 +195,12 @@ def near_dedup(docs: DataFrame, text: str = "text", id: str = "doc_id", width: i
     are rows of their own. A null id is smaller than none: it is never a component_id unless all ids of the component
     are null. An empty table gives an empty table; other columns of docs aren't read.
     """
+    out = with_components(docs, text, id, width, seed)
+    return out.select(F.col("id").alias(id), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "n_near", "component_id")
+
+
+def with_components(docs: DataFrame, text: str, id: str, width: int = 3, seed: int = 42) -> DataFrame:
+    """(id, fp, row, n_near, component_id)."""
     fps = stored(fingerprints(docs, text, id, width, seed))
     classes = stored(fps.groupBy("fp").agg(F.count("*").alias("n"), F.min("id").alias("least")))
     links = stored(near_pairs(classes.select("fp")))
@@ -205,12 +211,15 @@ def near_dedup(docs: DataFrame, text: str = "text", id: str = "doc_id", width: i
     least = placed.groupBy("component").agg(F.min("least").alias("component_id"))
     groups = placed.join(least, "component").join(degree.withColumnRenamed("a", "fp"), "fp", "left").select("fp", "n", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_near"), "component_id")
     out = attach_by_group(fps, stored(groups), "fp", "n", fps.count())
-    return out.select(F.col("id").alias(id), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "n_near", "component_id")
+    return out.select("id", "fp", "row", "n_near", "component_id")
 
 
 def representatives(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """docs with one document of each component, the one with the smallest id; all columns of docs."""
-    gone = near_dedup(docs, text, id).where(~F.col(id).eqNullSafe(F.col("component_id"))).select(id)
-    return without_ids(docs, id, gone)
-
+    """docs with one document of each component, the one with the smallest id; all columns of docs.
 
+    Of rows equal in id and text one stays. Components without any id keep their rows.
+    """
+    found = stored(with_components(docs, text, id))
+    stays = F.col("id").eqNullSafe(F.col("component_id"))
+    repeated = found.where(stays & (F.col("n_near") > 0)).groupBy("id", "row").agg(F.count("*").alias("n")).where("n > 1")
+    return without_rows(docs, found.where(~stays), repeated, text, id)

@@ -84,10 +84,11 @@ def collocations_by_word(spark, sf_dir):
     return pairs.groupBy("w").agg(F.count("*").alias("partners"), F.sum("cnt").alias("cnt"))
 
 
-def frequent_pairs(spark, sf_dir):
+def frequent_pairs(spark, sf_dir, cutoff=CUTOFF):
+    """Pairs of words that both occur at least cutoff times; rarer words go before the pairs are made."""
     rows = neighbour_rows(spark, sf_dir)
     unigrams = ngrams.dictionary(ngrams.ngram_counts(line_words(spark, sf_dir), n=1))
-    kept = collocations.pruned(rows, unigrams, CUTOFF)
+    kept = collocations.pruned(rows, unigrams, cutoff)
     return collocations.collocations(kept), unigrams
 
 
@@ -95,10 +96,10 @@ def collocations_frequent(spark, sf_dir):
     return frequent_pairs(spark, sf_dir)[0]
 
 
-def association_cutoff(spark, sf_dir):
-    pairs, unigrams = frequent_pairs(spark, sf_dir)
+def association_cutoff(spark, sf_dir, cutoff=CUTOFF):
+    pairs, unigrams = frequent_pairs(spark, sf_dir, cutoff)
     total = ngrams.total(unigrams).first()["total"]
-    scores = association.association(pairs, unigrams, total, CUTOFF)
+    scores = association.association(pairs, unigrams, total, cutoff)
     return scores.select(F.round("norm_mi", 6).alias("norm_mi"), F.round("mi", 4).alias("mi"), "cnt", "w", "v")
 
 

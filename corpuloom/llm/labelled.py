@@ -11,16 +11,16 @@ def fold(id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(id.cast("string")) % folds, F.lit(0))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, most_rows: int, most_chars: int, text: str = "text", id: str = "doc_id") -> tuple[list[str], list[int]]:
-    """Texts and labels of at most most_rows documents of each class, none of them in the held-out fold.
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, most_rows: tuple[int, int], most_chars: int, text: str = "text", id: str = "doc_id") -> tuple[list[str], list[int]]:
+    """Texts and labels of at most most_rows[y] documents of each class y, none of them in the held-out fold.
 
     The sample is the labelled ids of least hash, so it is the same whenever the labels are, and its size is bounded
-    by most_rows texts of most_chars characters a class; longer texts are only left out of the sample. Rows without an
+    by most_rows[y] texts of most_chars characters a class; longer texts are only left out of the sample. Rows without an
     id or label are ignored; an id with two labels counts as 1.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col(id).isNotNull() & (fold(F.col(id), folds) != held_out)).groupBy(F.col(id).alias("__id")).agg(F.max(label).alias("__y"))
     order = (F.xxhash64("__id"), F.col("__id"))
-    chosen = known.where("__y = 1").orderBy(*order).limit(most_rows).unionByName(known.where("__y = 0").orderBy(*order).limit(most_rows))
+    chosen = known.where("__y = 1").orderBy(*order).limit(most_rows[1]).unionByName(known.where("__y = 0").orderBy(*order).limit(most_rows[0]))
     rows = docs.select(F.col(id).alias("__doc"), F.col(text).alias("__text")).where(F.coalesce(F.length("__text"), F.lit(0)) <= most_chars)
     got = rows.join(F.broadcast(chosen), F.col("__doc") == F.col("__id")).select("__id", "__y", "__text").toArrow().sort_by([("__id", "ascending"), ("__text", "ascending")])
     return [x or "" for x in got.column("__text").to_pylist()], got.column("__y").to_pylist()

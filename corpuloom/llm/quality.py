@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from corpuloom.llm.labelled import fold, training_sample
-from corpuloom.llm.shared import inner_names
+from corpuloom.llm.shared import inner_names, slices
 
 UPPER, LOWER, DIGIT, STOP, MARK, SYMBOL, HIGH, BLANK = range(8)
 KIND = np.full(256, SYMBOL, np.uint8)
@@ -156,9 +156,11 @@ def train(texts: list[str], labels: list[int], s: Settings = Settings()) -> Mode
     y = np.asarray(labels, np.float32)
     share = (y.sum() + 1) / (len(y) + 2)
     model = Model(s, np.zeros(N_FEATURES, np.float32), np.ones(N_FEATURES, np.float32), prior=float(np.log(share / (1 - share))))
-    x, row = passages([t.encode("utf-8", "replace") for t in texts], s.passage_words) if len(y) else (np.empty((0, N_FEATURES)), np.empty(0, np.int64))
-    if not len(row):
+    # A few texts at a time: describing passages takes many times the memory of their bytes, what comes out little.
+    parts = [passages([t.encode("utf-8", "replace") for t in texts[k : k + 64]], s.passage_words) for k in range(0, len(texts), 64)]
+    if not sum(len(p[1]) for p in parts):
         return model
+    x, row = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] + 64 * k for k, p in enumerate(parts)])
     starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
     sizes = np.diff(np.r_[starts, len(row)])
     y = y[row[starts]]
@@ -195,7 +197,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", slice_bytes: int =
 
     def scored(batches):
         model = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             texts = [x or b"" for x in batch.column(at).cast(pa.binary()).to_pylist()]
             out, first, size = [], 0, 0
             for k, x in enumerate(texts):
@@ -208,8 +210,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", slice_bytes: int =
     return docs.mapInArrow(scored, StructType([*docs.schema.fields, StructField("score", DoubleType())]))
 
 
-def fitted(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, most_rows: int = 2500, most_chars: int = 40_000, settings: Settings = Settings(), text: str = "text", id: str = "doc_id") -> Model:
-    """A model of at most most_rows labelled documents a class outside the held-out fold (see training_sample)."""
+def fitted(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, most_rows: tuple[int, int] = (1500, 1500), most_chars: int = 20_000, settings: Settings = Settings(), text: str = "text", id: str = "doc_id") -> Model:
+    """A model of at most most_rows[y] labelled documents a class outside the held-out fold (see training_sample)."""
     return train(*training_sample(docs, labels, "quality", folds, held_out, most_rows, most_chars, text, id), settings)
 
 

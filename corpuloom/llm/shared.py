@@ -25,16 +25,30 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_TABLES: list[tuple[str, str]] = []
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Deletes the tables that stored() wrote for this application: to be called once all results are written."""
+    context = spark.sparkContext
+    for app, path in list(_TABLES):
+        if app == context.applicationId:
+            where = context._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+            _TABLES.remove((app, path))
+
+
 def stored(df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
     """df written once as Parquet in the shared folder and read back: compressed, columnar and safe against lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    _TABLES.append((spark.sparkContext.applicationId, path))
     df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 #: Up to so many keys (a few dozen bytes each) are broadcast once they have been counted; beyond it they are joined by a shuffle.
-BROADCAST_KEYS = 2_000_000
+BROADCAST_KEYS = 1_000_000
 
 
 def hint_if_few(keys: DataFrame) -> DataFrame:
@@ -69,6 +83,30 @@ def without_rows(docs: DataFrame, gone: DataFrame, repeated: DataFrame, text: st
     return rows.toDF(*docs.columns)
 
 
+def slices(batches, rows: int = 256):
+    """Arrow batches in slices of few rows, so that a worker holds few texts as Python objects at a time."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+    pa.default_memory_pool().release_unused()
+
+
+class Recent(dict):
+    """A dict of bounded size for __missing__ to fill: when it is full its entries become the older half, and those
+    asked for again move up; so what is frequent stays."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.half, self.older = max(1, most // 2), {}
+
+    def keep(self, key, value):
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def attach_by_group(rows: DataFrame, groups: DataFrame, key: str, size: str, n_rows: int, most_hot: int = 1024) -> DataFrame:
     """rows left join groups on key, where groups has one row a key and its number of rows in `size`.
 

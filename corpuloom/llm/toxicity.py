@@ -205,7 +205,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", id: str = "doc_id",
     return docs.select(F.col(id).alias("id"), F.col(text).alias("text")).mapInArrow(scored, f"id {kind}, score double").withColumnRenamed("id", id)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1, threshold: float = 0.7, most_rows: int = 1500, most_chars: int = 10_000, settings: Settings = Settings(), text: str = "text", id: str = "doc_id") -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1, threshold: float = 0.7, most_rows: tuple[int, int] = (1500, 1500), most_chars: int = 10_000, settings: Settings = Settings(), text: str = "text", id: str = "doc_id") -> DataFrame:
     """One row a row of docs: id, held_out, score, predicted.
 
     Learns from at most most_rows labelled documents a class outside the held-out fold (see training_sample); only

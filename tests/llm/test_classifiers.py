@@ -64,7 +64,7 @@ def test_misspellings_share_ngrams():
 
 def test_samples_leave_the_held_out_fold_out(labelled):
     docs, labels = labelled
-    texts, ys = training_sample(docs, labels, "toxic", 3, 1, 40, 10_000)
+    texts, ys = training_sample(docs, labels, "toxic", 3, 1, (40, 40), 10_000)
     assert len(texts) == 80 and sum(ys) == 40
     held = {r.text for r in docs.collect() if r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1}
     assert not held & set(texts)

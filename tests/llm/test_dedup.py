@@ -147,3 +147,15 @@ def test_near_dedup_by_hand(spark, no_documents):
 def test_majority():
     assert simhash.bit_majority(np.array([], dtype=np.uint64)) == 0
     assert simhash.bit_majority(np.array([3, 1], dtype=np.uint64)) == 1
+
+
+def test_tables_go_when_told(spark):
+    from corpuloom.llm import shared
+
+    table = shared.stored(spark.range(3).toDF("x"))
+    assert table.count() == 3
+    path = shared._TABLES[-1][1]
+    shared.drop_tables(spark)
+    assert not shared._TABLES
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(path).count()

@@ -33,6 +33,7 @@ NAMED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscribe|subscription|paywall|sidebar|side-bar|widgets?|nav|navbar|navigation|menus?|breadcrumbs?|pagination|pager|footer|site-header|page-header|masthead|topbar|toolbar|share|sharing|social|related|recommended|recommendations|trending|comments?|commentlist|disqus|replies|respond|discussion|feedback|login|signup|search|skip-link|copyright|legal|disclaimer)(?:$|[\s_-])",
     re.I,
 )
+SITE_HEADER = re.compile(r"(?:^|\s)(?:header|top-?header|main-?header|header-?(?:bar|wrapper|container))(?:$|\s)", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 KEPT_NAMES = frozenset(("html", "body", "article", "main"))
 
@@ -47,7 +48,7 @@ def excluded(tag: str, attributes: str, in_article: bool) -> bool:
         name, value = name.lower(), (a or b or c)
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and re.search(r"display\s*:\s*none", value, re.I)):
             return True
-        if name == "role" and value.lower() in ROLES or name in ("class", "id") and NAMED.search(value):
+        if name == "role" and value.lower() in ROLES or name in ("class", "id") and (NAMED.search(value) or not in_article and SITE_HEADER.search(value)):
             return True
     return False
 
@@ -72,8 +73,8 @@ def blocks_of(html: str) -> list[Block]:
     def flush():
         if parts:
             text = " ".join(unescape("".join(parts)).split())
-            if text and not (stack and stack[-1][2]):
-                held = [x for x in stack if x[0] in BLOCK or x[0] == "td" or x[0] == "th"]
+            if text:  # of excluded elements nothing is ever in parts
+                held = [x for x in stack if not x[2] and (x[0] in BLOCK or x[0] in ("td", "th"))]
                 out.append(Block(tuple(x[1] for x in held), tuple(x[0] for x in held), text, min(state["linked"], len(text))))
             parts.clear()
         state["linked"] = 0
@@ -102,7 +103,7 @@ def blocks_of(html: str) -> list[Block]:
             k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), -1)
             if k >= 0:
                 block = any(x[0] in BLOCK for x in stack[k:])
-                if block or stack[k][2]:
+                if block and not stack[k][2]:
                     flush()
                 elif tag in ("td", "th"):
                     parts.append(" ")
@@ -111,15 +112,16 @@ def blocks_of(html: str) -> list[Block]:
             elif tag == "p":
                 flush()
             continue
-        if tag == "br" or tag in ("td", "th"):
+        within = bool(stack) and stack[-1][2]  # an excluded element: its tags part nothing outside
+        if not within and (tag == "br" or tag in ("td", "th")):
             parts.append(" ")
-        if tag in BLOCK:
+        if tag in BLOCK and not within:
             flush()
             if tag in P_ENDS:
                 k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == "p"), -1)
                 if k >= 0 and not any(x[0] in BLOCK or x[0] in ("td", "th") for x in stack[k + 1 :]):
                     pop_to(k)
-        if tag in CLOSES:
+        if tag in CLOSES and not within:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] in BARRIER[tag]:
                     break
@@ -130,10 +132,7 @@ def blocks_of(html: str) -> list[Block]:
         if tag in VOID:
             continue
         number += 1
-        inside = bool(stack) and stack[-1][2]
-        gone = inside or excluded(tag, m[2], any(x[0] in ("article", "main") for x in stack))
-        if gone and not inside and tag not in BLOCK and parts:
-            pass  # an excluded inline element: the text before it stays in its block
+        gone = within or excluded(tag, m[2], any(x[0] in ("article", "main") for x in stack))
         if tag in RAW:
             close = lower.find("</" + tag, at)
             at = end if close < 0 else close

@@ -7,6 +7,8 @@ PAGES = [
     ("<html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href=x>Menu</a></ul></nav><article><h1>Head</h1><p><b>One two.<br><p>Three &amp; four,\n five.</p></article><footer>&copy; x</footer></body></html>", "Head\nOne two.\nThree & four, five."),
     ("<body><header>Site</header><div class='content'><h2>T</h2><p>One two, three.<p>Four&nbsp;five.<ul><li>a<li>b</ul></div><div class=sidebar>x y z, a.</div><section id=comments><p>Nice, really nice post.</p></section><form>q<input></form></body>", "T\nOne two, three.\nFour five.\na\nb"),
     ("<div class='ad'>Buy, now.</div><article><p>Text.</p><div class='cookie-notice'>We, use.</div><aside>more</aside></article>", "Text."),
+    ("<div class='header'>Site, name.</div><article><div class='header'>Head</div><p>One, two.</p><div class='user-comment'>So, true.</div></article>", "Head\nOne, two."),
+    ("<article><p>Hello <span class='ad'>buy</span> big <noscript><p>x</p></noscript>world.</p></article>", "Hello big world."),
     ("<script>var t='</p>';</script><!-- <p>x</p> --><p>Only this.", "Only this."),
     ("plain text", "plain text"),
     ("<p>a < b and c > d</p>", "a < b and c > d"),

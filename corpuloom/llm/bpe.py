@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuloom.llm.shared import Recent, slices
 from corpuloom.llm.token_counts import WHITE
 
 SPLIT = re.compile(r"[^\t-\r ]+")
@@ -80,15 +81,15 @@ class ForcedBoundaryBpe:
         letters = self.letters
         return ["".join([letters[b] for b in word.encode()]) for word in self.words.findall(text)]
 
+    def word_ids(self, word: str) -> list[int]:
+        """The ids of one word of the pre-tokenizer, in byte letters."""
+        if self.inside.issuperset(zip(word, word[1:])):
+            return [t.id for t in self.last.tokenize(word)]
+        *heads, tail = self.cut(word)
+        return [t.id for fragment in heads for t in self.inner.tokenize(fragment)] + [t.id for t in self.last.tokenize(tail)]
+
     def plain(self, text: str) -> list[int]:
-        out: list[int] = []
-        inner, last = self.inner.tokenize, self.last.tokenize
-        for word in self.words_of(text):
-            *heads, tail = self.cut(word)
-            for fragment in heads:
-                out += [t.id for t in inner(fragment)]
-            out += [t.id for t in last(tail)]
-        return out
+        return [i for word in self.words_of(text) for i in self.word_ids(word)]
 
     def encode(self, text: str | None) -> list[int]:
         """The ids of a whole text; special strings in it are their tokens. Null counts as empty."""
@@ -103,21 +104,58 @@ class ForcedBoundaryBpe:
         return " ".join(self.tokens[i] for i in ids if i in self.tokens)
 
 
-class Units(dict):
-    """A white-space-free unit of text -> (number of tokens, ids as text, tokens as text)."""
+PUNCTUATION = ".,;:!?"
+
+
+class Units(Recent):
+    """A white-space-free unit of text -> (number of tokens, ids as text, tokens as text).
+
+    Most units are a word of letters with or without punctuation behind it: two words to the pre-tokenizer, looked up
+    one by one in `words`, where capitals and neighbours don't matter.
+    """
 
     def __init__(self, bpe: ForcedBoundaryBpe, most_units: int, longest_kept: int):
-        super().__init__()
-        self.bpe, self.most_units, self.longest_kept = bpe, most_units, longest_kept
+        super().__init__(most_units)
+        self.bpe, self.longest_kept = bpe, longest_kept
+        self.words = Words(bpe, most_units)
 
     def __missing__(self, unit: str) -> tuple[int, str, str]:
-        ids = self.bpe.encode(unit)
-        out = (len(ids), " ".join(map(str, ids)), self.bpe.decode(ids))
-        if len(unit) <= self.longest_kept:
-            if len(self) >= self.most_units:
-                self.clear()
-            self[unit] = out
-        return out
+        if len(unit) > self.longest_kept:
+            return self.words.coded(unit)
+        if (known := self.older.get(unit)) is not None:
+            return self.keep(unit, known)
+        core = unit.rstrip(PUNCTUATION)
+        word = core.lower() if core.isascii() else unicodedata.normalize("NFC", core).lower()
+        if word.isalpha() and max(word) < "\u0250":
+            out = self.words[word]
+            if len(core) < len(unit):
+                tail = self.words[unit[len(core) :]]
+                out = (out[0] + tail[0], f"{out[1]} {tail[1]}", f"{out[2]} {tail[2]}")
+        else:
+            out = self.words.coded(unit)
+        return self.keep(unit, out)
+
+
+class Words(Recent):
+    """A single word of the pre-tokenizer, normalised, -> the same three."""
+
+    def __init__(self, bpe: ForcedBoundaryBpe, most: int):
+        super().__init__(most)
+        self.bpe = bpe
+
+    def described(self, ids: list[int]) -> tuple[int, str, str]:
+        tokens = self.bpe.tokens
+        return len(ids), " ".join([str(i) for i in ids]), " ".join([tokens[i] for i in ids])
+
+    def coded(self, text: str) -> tuple[int, str, str]:
+        """Of any text, not looked up."""
+        return self.described(self.bpe.encode(text))
+
+    def __missing__(self, word: str) -> tuple[int, str, str]:
+        if (known := self.older.get(word)) is None:
+            letters = self.bpe.letters
+            known = self.described(self.bpe.word_ids(word if word.isascii() else "".join([letters[b] for b in word.encode()])))
+        return self.keep(word, known)
 
 
 _KNOWN: dict[tuple, Units] = {}
@@ -139,7 +177,7 @@ def digests(known: Units, text: str | None) -> tuple[int, str, str]:
     return sum(counts), hashlib.sha256(" ".join(ids).encode()).hexdigest(), hashlib.sha256(" ".join(decoded).encode()).hexdigest()
 
 
-def encode_digests(docs: DataFrame, tokenizer: str, text: str = "text", id: str = "doc_id", most_units: int = 500_000, longest_kept: int = 64) -> DataFrame:
+def encode_digests(docs: DataFrame, tokenizer: str, text: str = "text", id: str = "doc_id", most_units: int = 200_000, longest_kept: int = 64) -> DataFrame:
     """One row a row of docs: id, n_tokens, ids_sha256 (of the decimal ids joined by one space), decoded_sha256.
 
     A null text counts as empty: no tokens, and both digests are those of the empty string. Repeated rows give
@@ -149,9 +187,8 @@ def encode_digests(docs: DataFrame, tokenizer: str, text: str = "text", id: str
 
     def coded(batches):
         known = known_units(tokenizer, most_units, longest_kept)
-        for batch in batches:
-            rows = [digests(known, x) for x in batch.column(1).to_pylist()]
-            n, ids, decoded = zip(*rows) if rows else ((), (), ())
+        for batch in slices(batches):
+            n, ids, decoded = zip(*[digests(known, x) for x in batch.column(1).to_pylist()])
             yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema[id].dataType.simpleString()
@@ -159,12 +196,12 @@ def encode_digests(docs: DataFrame, tokenizer: str, text: str = "text", id: str
     return out.withColumnRenamed("id", id)
 
 
-def encode_texts(docs: DataFrame, tokenizer: str, text: str = "text", id: str = "doc_id", most_units: int = 500_000, longest_kept: int = 64) -> DataFrame:
+def encode_texts(docs: DataFrame, tokenizer: str, text: str = "text", id: str = "doc_id", most_units: int = 200_000, longest_kept: int = 64) -> DataFrame:
     """The token ids themselves: id, ids (array<int>). A null text gives an empty array."""
 
     def coded(batches):
         known = known_units(tokenizer, most_units, longest_kept)
-        for batch in batches:
+        for batch in slices(batches):
             ids = [[int(i) for u in SPLIT.findall(x or "") for i in known[u][1].split()] for x in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["id", "ids"])
 
@@ -176,7 +213,7 @@ def decode_ids(rows: DataFrame, tokenizer: str, ids: str = "ids", id: str = "doc
     """The texts of token ids as the library decodes them: id, text. Null ids give an empty text."""
 
     def decoded(batches):
-        bpe = known_units(tokenizer, 500_000, 64).bpe
+        bpe = known_units(tokenizer, 200_000, 64).bpe
         for batch in batches:
             yield pa.record_batch([batch.column(0), pa.array([bpe.decode(x or []) for x in batch.column(1).to_pylist()], pa.string())], ["id", "text"])
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuloom.llm.shared import attach_by_group, components, row_key, stored, without_rows
+from corpuloom.llm.shared import attach_by_group, components, row_key, slices, stored, without_rows
 
 RADIUS = 3
 #: (lowest bit, number of bits) of the blocks that are blanked out in turn.
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, text: str = "text", id: str = "doc_id", width:
     """(id, fp, row): fp as a signed long, row as in shared.row_key(). Null and empty texts have fingerprint zero."""
 
     def hashed(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(2).cast(pa.binary()).to_pylist()
             fps = np.array([fingerprint(x, width, seed) for x in texts], dtype=np.uint64).view(np.int64)
             yield pa.record_batch([batch.column(0), pa.array(fps), batch.column(1)], ["id", "fp", "row"])

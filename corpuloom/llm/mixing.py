@@ -14,7 +14,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuloom.llm.shared import inner_names, stored
+from corpuloom.llm.shared import hint_if_few, inner_names, stored
 
 #: Expected copies are whole multiples of 1 / UNIT: sums are exact, so a rerun or a lost task can't change the mix.
 UNIT = 1 << 26
@@ -126,9 +126,10 @@ def mixed_documents(docs: DataFrame, text: str = "text", id: str = "doc_id", sou
     rows = inner_names(docs)
     c_id, c_text, c_source = (f"c{docs.columns.index(c)}" for c in (id, text, source))
     same = F.col(c_id).eqNullSafe(F.col("id")) & F.col(c_source).eqNullSafe(F.col("source")) & (words(F.col(c_text)) == F.col("size"))
-    out = rows.join(drawn.where("rows = 1"), same).withColumn("take", F.col("copies"))
+    # The texts stay where they are as long as what is drawn was counted to be small; beyond that they move once.
+    out = rows.join(hint_if_few(drawn.where("rows = 1")), same).withColumn("take", F.col("copies"))
     if drawn.where("rows > 1").limit(1).count():
         alike = Window.partitionBy("id", "source", "size").orderBy(c_text)
-        more = rows.join(drawn.where("rows > 1"), same).withColumn("k", F.row_number().over(alike))
+        more = rows.join(hint_if_few(drawn.where("rows > 1")), same).withColumn("k", F.row_number().over(alike))
         out = out.unionByName(more.withColumn("take", F.floor(F.col("copies") / F.col("rows")) + (F.col("k") <= F.col("copies") % F.col("rows")).cast("long")).drop("k").where("take > 0"))
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("take")))).select(*rows.columns).toDF(*docs.columns)

@@ -22,7 +22,7 @@ from corpuloom.llm.shared import attach_by_group, components, stored
 @dataclass(frozen=True)
 class Settings:
     threshold: float = 0.95
-    margin: float = 0.1  # a vector visits the cells whose cosine is at most this below its best
+    margin: float = 0.06  # a vector visits the cells whose cosine is at most this below its best
     most_cells: int = 65_536  # bounds the centres' broadcast: 65,536 x dimension x 4 bytes
     sample_per_cell: int = 16
     rounds: int = 8
@@ -91,7 +91,7 @@ def assigned(vectors: DataFrame, d: int, centres: np.ndarray, s: Settings) -> Da
                 out = part.append_column("cells", visited).take(pa.array(row))
                 yield pa.record_batch([pa.array(cell.astype(np.int64)), pa.array(home[row].astype(np.int64)), *out.columns], ["cell", "home", "rep", "n", "v", "cells"])
 
-    main = vectors.where(F.size("v") == d).select("rep", "n", "v").mapInArrow(placed, "cell long, home long, rep long, n long, v array<double>, cells array<long>")
+    main = vectors.where(F.size("v") == d).select("rep", "n", "v").mapInArrow(placed, f"cell long, home long, rep long, n long, v {vectors.schema['v'].dataType.simpleString()}, cells array<long>")
     other = (-F.size("v")).cast("long")
     return main.unionByName(vectors.where(F.size("v") != d).select(other.alias("cell"), other.alias("home"), "rep", "n", "v", F.array(other).alias("cells")))
 
@@ -146,7 +146,7 @@ def near_dedup(rows: DataFrame, vector: str = "embedding", id: str = "vec_id", s
     aren't read. Links are found within cells: recall is measured, not certain (see README).
     """
     s = settings
-    all_rows = rows.select(F.col(id).cast("long").alias("id"), F.when(usable(vector) & F.col(id).isNotNull(), F.transform(F.col(vector), lambda x: x.cast("double"))).alias("v"))
+    all_rows = rows.select(F.col(id).cast("long").alias("id"), F.when(usable(vector) & F.col(id).isNotNull(), F.col(vector)).alias("v"))
     all_rows = stored(all_rows)
     vectors = stored(all_rows.where("v is not null").groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
     n = vectors.count()

@@ -20,17 +20,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuloom.llm.labelled import fold, training_sample
+from corpuloom.llm.shared import slices
 
 WORDS = re.compile(r"\w+")
 
 
 @dataclass(frozen=True)
 class Settings:
-    buckets: int = 1 << 16
+    buckets: int = 1 << 18
     dim: int = 4
     least: int = 3
     longest: int = 5
-    epochs: int = 20
+    epochs: int = 14
     rate: float = 0.2
     prior_docs: float = 2.0
     least_docs: int = 5
@@ -74,7 +75,7 @@ class Rows:
         at = np.argsort(row, kind="stable")
         row, col, value = row[at], col[at], value[at].astype(np.float32)[:, None]
         starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.empty(0, np.int64)
-        return row[starts], starts, col, value
+        return row[starts], starts, col.astype(np.int32), value
 
     @staticmethod
     def times(side, dense, n):
@@ -115,10 +116,10 @@ def train(texts: list[str], labels: list[int], s: Settings = Settings()) -> Mode
     for c in counts:
         for w in c:
             vocabulary.setdefault(w, len(vocabulary))
-    lists = [features(w, s) for w in vocabulary]
+    lists = [np.array(features(w, s), np.int32) for w in vocabulary]
     n_features = np.array([len(x) for x in lists], np.float32)
-    word_of = np.repeat(np.arange(len(lists)), n_features.astype(np.int64))
-    bucket = np.concatenate([np.array(x, np.int64) for x in lists]) if lists else np.empty(0, np.int64)
+    word_of = np.repeat(np.arange(len(lists), dtype=np.int32), n_features.astype(np.int64))
+    bucket = np.concatenate(lists) if lists else np.empty(0, np.int32)
     row = np.repeat(np.arange(len(counts)), [len(c) for c in counts])
     col = np.array([vocabulary[w] for c in counts for w in c], np.int64)
     value = np.array([n for c in counts for n in c.values()], np.float32)
@@ -198,17 +199,17 @@ def score(docs: DataFrame, model: Model, text: str = "text", id: str = "doc_id",
 
     def scored(batches):
         known = Logits(shared.value, most_words, longest_kept)
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.record_batch([batch.column(0), pa.array([known.score(x) for x in batch.column(1).to_pylist()], pa.float64())], ["id", "score"])
 
     kind = docs.schema[id].dataType.simpleString()
     return docs.select(F.col(id).alias("id"), F.col(text).alias("text")).mapInArrow(scored, f"id {kind}, score double").withColumnRenamed("id", id)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1, threshold: float = 0.7, most_rows: tuple[int, int] = (1500, 1500), most_chars: int = 10_000, settings: Settings = Settings(), text: str = "text", id: str = "doc_id") -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1, threshold: float = 0.7, most_rows: tuple[int, int] = (3000, 1500), most_chars: int = 6_000, settings: Settings = Settings(), text: str = "text", id: str = "doc_id") -> DataFrame:
     """One row a row of docs: id, held_out, score, predicted.
 
-    Learns from at most most_rows labelled documents a class outside the held-out fold (see training_sample); only
+    Learns from at most most_rows[y] labelled documents a class outside the held-out fold (see training_sample); only
     texts enter a score. Without labels of both classes every score is the prior. Repeated rows get equal scores;
     null and empty texts are scored too; an empty table gives an empty table; other columns of docs aren't read.
     """

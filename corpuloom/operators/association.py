@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Up to so many dictionary words (tens of bytes each) are broadcast; beyond it the joins shuffle.
@@ -15,6 +15,11 @@ def two_words(counts: DataFrame, key: str = "ngram") -> DataFrame:
     return counts.withColumn("__p", parts).where(F.size("__p") == 2).select(F.col("__p")[0].alias("w"), F.col("__p")[1].alias("v"), "cnt")
 
 
+def score(cnt: Column, n: Column, c_w: Column, c_v: Column) -> Column:
+    """mi, of doubles: n * n alone would overflow a long."""
+    return cnt * n * n / (c_w * c_w * c_v)
+
+
 def association(pairs: DataFrame, unigrams: DataFrame, total: int, cutoff: int = 0) -> DataFrame:
     """(norm_mi, mi, cnt, w, v) of pairs whose words are both in the dictionary with at least cutoff occurrences.
 
@@ -25,8 +30,7 @@ def association(pairs: DataFrame, unigrams: DataFrame, total: int, cutoff: int =
     hint = F.broadcast if few else (lambda df: df)
     left = hint(words.select(F.col("word").alias("w"), F.col("cnt").cast("double").alias("c_w")))
     right = hint(words.select(F.col("word").alias("v"), F.col("cnt").cast("double").alias("c_v")))
-    n = F.lit(float(total))
-    mi = F.col("cnt").cast("double") * n * n / (F.col("c_w") * F.col("c_w") * F.col("c_v"))
+    mi = score(F.col("cnt").cast("double"), F.lit(float(total)), F.col("c_w"), F.col("c_v"))
     scored = pairs.join(left, "w").join(right, "v").withColumn("mi", mi)
     # The pairs (w, w) are at most as many as words: joined like the dictionary, not by a window over each word's pairs.
     own = hint(scored.where("w = v").select("w", F.col("mi").alias("own")))

@@ -37,6 +37,25 @@ def pair_counts(rows: DataFrame, words: str = "words", context: str = "context")
     return pairs.groupBy("w", "v").agg(F.sum("m").alias("cnt"))
 
 
+def partner_counts(rows: DataFrame, chosen: list[str], words: str = "words", context: str = "context") -> DataFrame:
+    """The rows of pair_counts() whose w is one of a few chosen words.
+
+    A sentence's partners are expanded once for all chosen words and added up side by side: one row a partner is
+    shuffled, not one a pair, and the rows come parted by v.
+    """
+    if not chosen:
+        return rows.select(F.lit("").alias("w"), F.lit("").alias("v"), F.lit(0).cast("long").alias("cnt")).where("false")
+    held = rows.select(F.filter(words, lambda x: x.isin(chosen)).alias("held"), context).where(F.size("held") > 0)
+
+    def times_of(w: str):
+        return F.size(F.filter("held", lambda x: x == w))
+
+    times = [times_of(w).alias(f"m{k}") for k, w in enumerate(chosen)]
+    sums = held.select(*times, F.explode(context).alias("v")).groupBy("v").agg(*(F.sum(f"m{k}").alias(f"m{k}") for k in range(len(chosen))))
+    pairs = F.explode(F.array(*(F.struct(F.lit(w).alias("w"), F.col(f"m{k}").alias("cnt")) for k, w in enumerate(chosen))))
+    return sums.select("v", pairs.alias("p")).select("p.w", "v", "p.cnt").where("cnt > 0")
+
+
 def collocations(rows: DataFrame, doc: str = "doc_id", para: str = "para_id", order: str = "sent_id", words: str = "words") -> DataFrame:
     return pair_counts(with_context(rows, doc, para, order, words), words)
 

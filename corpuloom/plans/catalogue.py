@@ -104,12 +104,22 @@ def association_cutoff(spark, sf_dir, cutoff=CUTOFF):
 
 
 def association_top(spark, sf_dir):
-    """The ten partners of highest score of the twenty most frequent words."""
+    """The ten partners of highest score, however rare, of the twenty most frequent words.
+
+    Only w is held to the twenty before the pairs are made: a pair's count doesn't depend on other words.
+    """
     from pyspark.sql import Window
 
-    pairs, unigrams = frequent_pairs(spark, sf_dir)
-    some = unigrams.orderBy(F.desc("cnt"), "word").limit(20).select(F.col("word").alias("w"))
-    scores = association.association(pairs, unigrams, ngrams.total(unigrams).first()["total"], CUTOFF).join(F.broadcast(some), "w", "left_semi")
+    unigrams = ngrams.dictionary(ngrams.ngram_counts(line_words(spark, sf_dir), n=1))
+    total = F.lit(float(ngrams.total(unigrams).first()["total"]))
+    some = unigrams.orderBy(F.desc("cnt"), "word").limit(20).collect()
+    lines = F.filter(F.split("text", "\n", -1), lambda x: F.octet_length(x) < 8192)
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.transform(lines, T.words_of).alias("sentences"))
+    pairs = collocations.partner_counts(collocations.with_context_in_document(docs), [r["word"] for r in some])
+    left = F.broadcast(spark.createDataFrame([(r["word"], float(r["cnt"])) for r in some], "w string, c_w double"))
+    right = unigrams.select(F.col("word").alias("v"), F.col("cnt").cast("double").alias("c_v"))
+    mi = association.score(F.col("cnt").cast("double"), total, F.col("c_w"), F.col("c_v"))
+    scores = pairs.join(right, "v").join(left, "w").withColumn("mi", mi)
     ranked = scores.withColumn("place", F.row_number().over(Window.partitionBy("w").orderBy(F.desc(F.round("mi", 4)), "v")))
     return ranked.where("place <= 10").select("w", "v", "cnt", F.col("place").cast("long").alias("place"))
 

@@ -23,6 +23,7 @@ PUNCTUATION = re.compile(r"[.,;:!?…、。，！？؟،]")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content isn't markup: skipped to their end tag.
 RAW = frozenset("script style textarea title xmp noembed noframes".split())
+RAW_END = {tag: re.compile("</" + tag, re.I | re.A) for tag in RAW}
 SKIPPED = frozenset("script style template noscript head nav footer aside form button select textarea option dialog menu iframe object svg canvas audio video label fieldset".split())
 BLOCK = frozenset("html body article section main div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd pre blockquote figure figcaption table thead tbody tfoot tr caption header footer nav aside form address hr details summary center fieldset menu hgroup".split())
 #: A start tag of the key ends an open element of the value, as long as no element of BARRIER stands between.
@@ -68,7 +69,6 @@ def blocks_of(html: str) -> list[Block]:
     stack: list[tuple[str, int, bool]] = []  # tag, number of the element, excluded itself or by an element around it
     parts: list[str] = []
     state = {"linked": 0}
-    lower = html.lower()
 
     def flush():
         if parts:
@@ -134,8 +134,8 @@ def blocks_of(html: str) -> list[Block]:
         number += 1
         gone = within or excluded(tag, m[2], any(x[0] in ("article", "main") for x in stack))
         if tag in RAW:
-            close = lower.find("</" + tag, at)
-            at = end if close < 0 else close
+            close = RAW_END[tag].search(html, at)
+            at = close.start() if close else end
             stack.append((tag, number, True))
             continue
         stack.append((tag, number, gone))

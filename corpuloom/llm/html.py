@@ -35,12 +35,20 @@ NAMED = re.compile(
     re.I,
 )
 SITE_HEADER = re.compile(r"(?:^|\s)(?:header|top-?header|main-?header|header-?(?:bar|wrapper|container))(?:$|\s)", re.I)
+#: Class tokens that tell of a layout or of content, whatever else is in them.
+LAYOUT = re.compile(r"(?:^|(?<=\s))(?:(?:no|has|with|without)[-_]\S+|\S+[-_](?:article|news|story))(?=\s|$)", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
+HOLDER = re.compile(r"<(?:article|main)[\s>]", re.I)
 KEPT_NAMES = frozenset(("html", "body", "article", "main"))
 
 
-def excluded(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether the element says that it isn't part of the main text."""
+def named(value: str) -> bool:
+    """Whether a class or id names something other than the main text."""
+    return bool(NAMED.search(value) and NAMED.search(LAYOUT.sub("", value)))
+
+
+def excluded(tag: str, attributes: str, in_article: bool, by_name: bool = True) -> bool:
+    """Whether the element says that it isn't part of the main text; by_name: also by a class or id of NAMED."""
     if tag in SKIPPED or (tag == "header" and not in_article):
         return True
     if not attributes or tag in KEPT_NAMES:
@@ -49,7 +57,7 @@ def excluded(tag: str, attributes: str, in_article: bool) -> bool:
         name, value = name.lower(), (a or b or c)
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and re.search(r"display\s*:\s*none", value, re.I)):
             return True
-        if name == "role" and value.lower() in ROLES or name in ("class", "id") and (NAMED.search(value) or not in_article and SITE_HEADER.search(value)):
+        if name == "role" and value.lower() in ROLES or name in ("class", "id") and (by_name and named(value) or not in_article and SITE_HEADER.search(value)):
             return True
     return False
 
@@ -63,11 +71,15 @@ class Block:
         self.chain, self.path, self.text, self.linked = chain, path, text, linked
 
 
-def blocks_of(html: str) -> list[Block]:
-    """The page's text blocks in order, those of excluded elements left out. White space is one space, ends trimmed."""
+def blocks_of(html: str, lifted: bool = False) -> list[Block]:
+    """The page's text blocks in order, those of excluded elements left out. White space is one space, ends trimmed.
+
+    lifted: an article or main that isn't named itself opens the elements around it that only a name excludes.
+    """
     out: list[Block] = []
     stack: list[tuple[str, int, bool]] = []  # tag, number of the element, excluded itself or by an element around it
     parts: list[str] = []
+    firm: list[int] = []  # numbers of the elements excluded by more than a name
     state = {"linked": 0}
 
     def flush():
@@ -132,7 +144,13 @@ def blocks_of(html: str) -> list[Block]:
         if tag in VOID:
             continue
         number += 1
+        if lifted and within and tag in ("article", "main") and not any(a.lower() in ("class", "id") and named(x or y or z) for a, x, y, z in ATTRIBUTE.findall(m[2])):
+            if not any(x[1] in firm for x in stack):
+                stack[:] = [(x[0], x[1], False) for x in stack]
+                within = False
         gone = within or excluded(tag, m[2], any(x[0] in ("article", "main") for x in stack))
+        if lifted and gone and excluded(tag, m[2], any(x[0] in ("article", "main") for x in stack), by_name=False):
+            firm.append(number)
         if tag in RAW:
             close = RAW_END[tag].search(html, at)
             at = close.start() if close else end
@@ -189,7 +207,15 @@ def content_blocks(blocks: list[Block], share: float) -> list[Block]:
 
 def main_text(html: str | None, share: float = 0.5) -> str:
     """The main text: blocks in page order joined by one newline; null, empty or without text: empty."""
-    return "\n".join(b.text for b in content_blocks(blocks_of(html), share)) if html else ""
+    if not html:
+        return ""
+    blocks = blocks_of(html)
+    found = content_blocks(blocks, share)
+    if not any(name in b.path for b in blocks for name in ("article", "main")) and HOLDER.search(html):
+        inner = [b for b in blocks_of(html, lifted=True) if "article" in b.path or "main" in b.path]
+        if sum(len(b.text) for b in inner) > sum(len(b.text) for b in found):
+            found = content_blocks(inner, share)
+    return "\n".join(b.text for b in found)
 
 
 def main_texts(pages: DataFrame, share: float = 0.5, html: str = "html", id: str = "page_id", url: str = "url") -> DataFrame:

@@ -1,7 +1,7 @@
 """Command line: each tool reads a path that Spark can read and writes a folder.
 
     python -m corpuloom articles DUMP OUT [--files]
-    python -m corpuloom textify ARTICLES OUT [--ignore-headings]
+    python -m corpuloom textify ARTICLES OUT [--ignore-headings] [--rejects BAD]
     python -m corpuloom sentences TEXTS OUT
     python -m corpuloom tokenize LINES OUT [--keep CHARS] [--parens] [--keep-case]
     python -m corpuloom ngrams LINES OUT [-n N]
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from corpuloom.functions.text import words_of
 from corpuloom.operators import association, collocations, markup, ngrams, sentences, tokens
 from corpuloom.plans import corpus
-from corpuloom.sources import readers, writers
+from corpuloom.sources import readers, workspace, writers
 
 
 def parser() -> argparse.ArgumentParser:
@@ -40,7 +40,9 @@ def parser() -> argparse.ArgumentParser:
         return p
 
     tool("articles", "path", "out").add_argument("--files", action="store_true")
-    tool("textify", "path", "out").add_argument("--ignore-headings", action="store_true")
+    p = tool("textify", "path", "out")
+    p.add_argument("--ignore-headings", action="store_true")
+    p.add_argument("--rejects")
     tool("sentences", "path", "out")
     p = tool("tokenize", "path", "out")
     p.add_argument("--keep", default="")
@@ -76,8 +78,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         rows = markup.unescape(rows, "markup")
         writers.write_article_files(rows, args.out, "markup") if args.files else writers.write_article_stream(rows, args.out, "markup")
     elif tool == "textify":
-        rows = markup.textify(framed(spark, args.path), args.ignore_headings, "text")
+        rows = writers.stage(markup.textify(framed(spark, args.path), args.ignore_headings, "text"), workspace.new_path(spark, "textified"))
         writers.write_article_stream(rows.where("error is null"), args.out)
+        if args.rejects:
+            rows.where("error is not null").select("doc_id", "error.*").write.json(args.rejects)
     elif tool == "sentences":
         writers.write_sentence_stream(sentences.sentence_lines(framed(spark, args.path)), args.out)
     elif tool == "tokenize":
@@ -87,11 +91,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         rows = sentences.not_blank(readers.text_lines(spark, args.path)).withColumn("words", words_of(F.col("line")))
         writers.write_count_table(ngrams.ngram_counts(rows, n=args.n), args.out)
     elif tool == "filter":
-        kept = ngrams.at_least(counts(spark, args.path), args.t)
-        if args.no_total:
-            kept.select(F.concat_ws("\t", F.col("cnt").cast("string"), "ngram")).write.text(args.out)
-        else:
-            writers.write_count_table(kept, args.out)
+        writers.write_count_table(ngrams.at_least(counts(spark, args.path), args.t), args.out, header=not args.no_total)
     elif tool == "sort":
         writers.write_count_table(counts(spark, args.path), args.out, by_frequency=True)
     elif tool == "merge":

@@ -11,8 +11,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 OPEN, CLOSE, DOT, COMMA, BLANK, LINE, TAB, FEED, RETURN, SENTENCE, PARAGRAPH = (chr(0xFDD0 + k) for k in range(11))
 
 # Single letters or capitalised pairs each with a full stop, perhaps one more word character, then blanks or the end.
-# Blanks are spelled out (Java's \s has the vertical tab) and (?d) keeps . and $ to line feeds.
-ABBREVIATION = r"(?:\w\.|[A-Z][a-z]\.)+(?:[ \t\n\f\r]*\w\.?)?(?:[ \t\n\f\r]|$)+"
+# Blanks are spelled out (Java's \s has the vertical tab) and (?d) keeps . and $ to line feeds. The repeats are
+# possessive: giving one back never helps a match, and Java then loops instead of recursing once a repeat.
+ABBREVIATION = r"(?:\w\.|[A-Z][a-z]\.)++(?:[ \t\n\f\r]*+\w\.?)?(?:[ \t\n\f\r]++|$)"
 
 #: What separates words, apart from the apostrophe, which has its own rule.
 SEPARATORS = '.,!?()&@[]{}/\\"#:;<>^*=-”−—–'

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Up to so many dictionary words (tens of bytes each) are broadcast; beyond it the joins shuffle.
-MOST_BROADCAST = 2_000_000
-
+from corpuloom.operators.ngrams import MOST_BROADCAST, hint_if_small
 
 def two_words(counts: DataFrame, key: str = "ngram") -> DataFrame:
     """(w, v, cnt) of a count table's rows whose key is exactly two words."""
@@ -20,20 +18,22 @@ def score(cnt: Column, n: Column, c_w: Column, c_v: Column) -> Column:
     return cnt * n * n / (c_w * c_w * c_v)
 
 
-def association(pairs: DataFrame, unigrams: DataFrame, total: int, cutoff: int = 0) -> DataFrame:
+def association(pairs: DataFrame, unigrams: DataFrame, total: int, cutoff: int = 0, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """(norm_mi, mi, cnt, w, v) of pairs whose words are both in the dictionary with at least cutoff occurrences.
 
-    norm_mi is mi over that of (w, w): null where that pair isn't there.
+    norm_mi is mi over that of (w, w): null where that pair isn't there. pairs and unigrams are read twice: give tables.
+    The dictionary is broadcast if it was counted to hold at most most_broadcast bytes.
     """
     words = unigrams.where(F.col("cnt") >= cutoff)
-    few = words.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
-    hint = F.broadcast if few else (lambda df: df)
+    small = hint_if_small(words, "word", most_broadcast) is not words
+    hint = F.broadcast if small else (lambda df: df)
     left = hint(words.select(F.col("word").alias("w"), F.col("cnt").cast("double").alias("c_w")))
     right = hint(words.select(F.col("word").alias("v"), F.col("cnt").cast("double").alias("c_v")))
-    mi = score(F.col("cnt").cast("double"), F.lit(float(total)), F.col("c_w"), F.col("c_v"))
-    scored = pairs.join(left, "w").join(right, "v").withColumn("mi", mi)
-    # The pairs (w, w) are at most as many as words: joined like the dictionary, not by a window over each word's pairs.
-    own = hint(scored.where("w = v").select("w", F.col("mi").alias("own")))
+    n = F.lit(float(total))
+    scored = pairs.join(left, "w").join(right, "v").withColumn("mi", score(F.col("cnt").cast("double"), n, F.col("c_w"), F.col("c_v")))
+    # The pairs (w, w) are at most as many as words: scored on their own and joined like the dictionary.
+    same = pairs.where("w = v").select("w", F.col("cnt").cast("double").alias("c_ww")).join(left, "w")
+    own = hint(same.select("w", score(F.col("c_ww"), n, F.col("c_w"), F.col("c_w")).alias("own")))
     return scored.join(own, "w", "left").select(F.try_divide("mi", "own").alias("norm_mi"), "mi", "cnt", "w", "v")
 
 

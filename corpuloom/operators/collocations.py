@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuloom.operators.ngrams import at_least
+from corpuloom.operators.ngrams import MOST_BROADCAST, at_least, hint_if_small
 
 
 def with_context(rows: DataFrame, doc: str = "doc_id", para: str = "para_id", order: str = "sent_id", words: str = "words") -> DataFrame:
@@ -60,15 +60,13 @@ def collocations(rows: DataFrame, doc: str = "doc_id", para: str = "para_id", or
     return pair_counts(with_context(rows, doc, para, order, words), words)
 
 
-def pruned(rows: DataFrame, unigrams: DataFrame, cutoff: int, keys: tuple[str, ...] = ("doc_id", "para_id", "sent_id"), words: str = "words", most_broadcast: int = 2_000_000) -> DataFrame:
+def pruned(rows: DataFrame, unigrams: DataFrame, cutoff: int, keys: tuple[str, ...] = ("doc_id", "para_id", "sent_id"), words: str = "words", most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """rows with only the words of at least cutoff occurrences, for counts of pairs that a cutoff on both words keeps.
 
     A pair's count doesn't depend on other words, so this changes none that stays; sentences left empty keep their
     row and part their neighbours as before. unigrams: (word, cnt) of the unpruned words.
     """
-    frequent = at_least(unigrams, cutoff).select("word")
-    few = frequent.limit(most_broadcast + 1).count() <= most_broadcast
-    known = F.broadcast(frequent) if few else frequent
+    known = hint_if_small(at_least(unigrams, cutoff).select("word"), "word", most_broadcast)
     each = rows.select(*keys, F.posexplode(words).alias("__k", "word")).join(known, "word", "left_semi")
     left = each.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("__k", "word"))), lambda x: x["word"]).alias("__words"))
     return rows.join(left, list(keys), "left").withColumn(words, F.coalesce("__words", F.array().cast("array<string>"))).drop("__words")

@@ -49,142 +49,166 @@ class _Out:
 
 
 PLAIN = re.compile(r"[^\[<{|*\-:=']+")
-
-
-def plain_text(markup: str, ignore_headings: bool = False) -> str:
-    """The text of an article; raises MarkupError for a comment that isn't closed.
-
-    Links leave their label (none at all if it has a colon), files and images their caption as a paragraph; comments,
-    elements with their content, templates and tables go; list items and headings become paragraphs; the article ends
-    at a heading such as References; runs of apostrophes go.
-    """
-    out, at, end = _Out(), 0, len(markup)
-    while at < end:
-        run = PLAIN.match(markup, at)
-        if run:
-            out.write(run[0])
-            at = run.end()
-            continue
-        c = markup[at]
-        if c == "[":
-            at = _link(markup, at, out, ignore_headings)
-        elif c == "<":
-            at = _element(markup, at, out)
-        elif c == "{" and markup.startswith(("{{", "{|"), at):
-            at = _braces(markup, at)
-        elif c == "|" and not markup[markup.rfind("\n", 0, at) + 1 : at].strip(" \t\r"):
-            line = markup.find("\n", at)
-            at = end if line < 0 else line + 1
-        elif c in "*-" and out.last_line_blank:
-            at = _item(markup, at, out, ignore_headings)
-        elif c == ":" and out.last_line_blank:
-            at += 1
-        elif c == "=":
-            m = HEADING.match(markup, at)
-            if not m:
-                out.write("=")
+RUNS = re.compile("=+")
+TAG_SIGNS = re.compile(r"[<>/]")
+PAIRED = re.compile(r"[\[\]|{}]")
+
+
+class _Article:
+    """One article's markup with the matching brackets and braces found in a single pass."""
+
+    def __init__(self, markup: str, ignore_headings: bool):
+        self.markup, self.ignore_headings = markup, ignore_headings
+        self.close: dict[int, int] = {}  # where the bracket or brace opened at a place is closed
+        self.body: dict[int, int] = {}  # behind the last | directly within a bracket
+        brackets: list[int] = []
+        braces: list[int] = []
+        for m in PAIRED.finditer(markup):
+            c = m[0]
+            if c == "[":
+                brackets.append(m.start())
+            elif c == "{":
+                braces.append(m.start())
+            elif c == "|":
+                if brackets:
+                    self.body[brackets[-1]] = m.end()
+            elif c == "]":
+                if brackets:
+                    self.close[brackets.pop()] = m.start()
+            elif braces:
+                self.close[braces.pop()] = m.start()
+
+    def text(self, at: int, end: int) -> str:
+        """The text of a part of the markup, read as if it stood alone."""
+        markup, out, low = self.markup, _Out(), at
+        while at < end:
+            run = PLAIN.match(markup, at, end)
+            if run:
+                out.write(run[0])
+                at = run.end()
+                continue
+            c = markup[at]
+            if c == "[":
+                at = self.link(at, end, out)
+            elif c == "<":
+                at = self.element(at, end, out)
+            elif c == "{" and markup.startswith(("{{", "{|"), at, end):
+                close = self.close.get(at, end)
+                at = close + 1 if close < end else end
+            elif c == "|" and self.begins_line(low, at):
+                line = markup.find("\n", at, end)
+                at = end if line < 0 else line + 1
+            elif c in "*-" and out.last_line_blank:
+                at = self.item(at, end, out)
+            elif c == ":" and out.last_line_blank:
                 at += 1
-            elif m[2] in FINAL_HEADINGS:
-                break
+            elif c == "=":
+                m = self.heading(at, end)
+                if not m:
+                    out.write("=")
+                    at += 1
+                elif m[2] in FINAL_HEADINGS:
+                    break
+                else:
+                    at = m.end()
+                    if not self.ignore_headings:
+                        out.write(m[2])
+                        out.break_lines(2)
+            elif c == "'" and markup.startswith("''", at, end):
+                while at < end and markup[at] == "'":
+                    at += 1
             else:
-                at = m.end()
-                if not ignore_headings:
-                    out.write(m[2])
-                    out.break_lines(2)
-        elif c == "'" and markup.startswith("''", at):
-            while at < end and markup[at] == "'":
+                out.write(c)
                 at += 1
-        else:
-            out.write(c)
-            at += 1
-    return out.text()
-
-
-BRACKETS = re.compile(r"[\[\]|]")
-
-
-def _link(markup: str, at: int, out: _Out, ignore_headings: bool) -> int:
-    depth, body = 0, at + 1
-    for m in BRACKETS.finditer(markup, at):
-        c = m[0]
-        if c == "[":
-            depth += 1
-        elif c == "|":
-            if depth == 1:
-                body = m.end()
-        else:
-            depth -= 1
-            if depth == 0:
-                close = m.start()
+        return out.text()
+
+    def heading(self, at: int, end: int) -> re.Match | None:
+        """HEADING at a place. Of a long run only the lengths that can match are tried, as the regex would try each."""
+        markup, stop = self.markup, at
+        while stop < end and markup[stop] == "=":
+            stop += 1
+        n = stop - at
+        if n <= 16:
+            return HEADING.match(markup, at, end)
+        line = stop
+        while line < end and markup[line] in " \t\n\f\r":
+            line += 1
+        line = markup.find("\n", line, end)
+        line = end if line < 0 else line
+        while line < end and markup[line] in " \t\n\f\r=":
+            line += 1
+        sizes = set(map(len, RUNS.findall(markup, stop, line)))
+        for k in sorted({min(n, x) for x in sizes} | {min(n - 1, x) for x in sizes} | {(n - 1) // 2}, reverse=True):
+            if k and (m := re.compile(f"(={{{k}}})[ \\t\\n\\f\\r]*(.+?)[ \\t\\n\\f\\r]*={{{k}}}").match(markup, at, end)):
+                return m
+        return None
+
+    def begins_line(self, low: int, at: int) -> bool:
+        while at > low and self.markup[at - 1] in " \t\r":
+            at -= 1
+        return at == low or self.markup[at - 1] == "\n"
+
+    def link(self, at: int, end: int, out: _Out) -> int:
+        close = self.close.get(at, end)
+        if close >= end:
+            out.write("[")  # never closed: an ordinary character
+            return at + 1
+        body = self.body.get(at, at + 1)
+        target = self.markup[at:body].lower()
+        picture = "file:" in target or "image:" in target
+        if picture:
+            out.break_lines(2)
+        label = self.text(body, close)
+        if ":" not in label:
+            out.write(label)
+        if picture:
+            out.break_lines(2)
+        return close + 1
+
+    def element(self, at: int, end: int, out: _Out) -> int:
+        markup = self.markup
+        if markup.startswith("<!--", at, end):
+            close = markup.find("-->", at + 4, end)
+            if close < 0:
+                raise MarkupError("comment without an end", at)
+            return close + 3
+        depth, closing, stop = 0, False, end
+        for m in TAG_SIGNS.finditer(markup, at, end):
+            c = m[0]
+            if c == "<":
+                depth += 1
+            elif c == ">":
+                depth -= 1
+            else:
+                closing = depth == 1
+            if depth <= 0 and closing:
+                stop = m.end()
                 break
-    else:
-        out.write("[")  # never closed: an ordinary character
-        return at + 1
-    target = markup[at:body].lower()
-    picture = "file:" in target or "image:" in target
-    if picture:
+        if stop - at <= 6 and markup[at:stop] in BREAKS:
+            out.write("\n")
+        return stop
+
+    def item(self, at: int, end: int, out: _Out) -> int:
         out.break_lines(2)
-    try:
-        label = plain_text(markup[body:close], ignore_headings)
-    except MarkupError as e:
-        raise MarkupError(str(e), e.at + body) from None
-    if ":" not in label:
-        out.write(label)
-    if picture:
+        while at < end and self.markup[at] in "*- \t":
+            at += 1
+        line = self.markup.find("\n", at, end)
+        stop = end if line < 0 else line
+        comment = self.markup.find("<!--", at, stop)
+        stop = stop if comment < 0 else comment
+        out.write(self.text(at, stop))
         out.break_lines(2)
-    return close + 1
-
+        return stop
 
-TAG_SIGNS = re.compile(r"[<>/]")
 
+def plain_text(markup: str, ignore_headings: bool = False) -> str:
+    """The text of an article; raises MarkupError for a comment that isn't closed.
 
-def _element(markup: str, at: int, out: _Out) -> int:
-    if markup.startswith("<!--", at):
-        close = markup.find("-->", at + 4)
-        if close < 0:
-            raise MarkupError("comment without an end", at)
-        return close + 3
-    depth, closing, end = 0, False, len(markup)
-    for m in TAG_SIGNS.finditer(markup, at):
-        c = m[0]
-        if c == "<":
-            depth += 1
-        elif c == ">":
-            depth -= 1
-        else:
-            closing = depth == 1
-        if depth <= 0 and closing:
-            end = m.end()
-            break
-    if markup[at:end] in BREAKS:
-        out.write("\n")
-    return end
-
-
-BRACES = re.compile(r"[{}]")
-
-
-def _braces(markup: str, at: int) -> int:
-    depth = 0
-    for m in BRACES.finditer(markup, at):
-        depth += 1 if m[0] == "{" else -1
-        if depth == 0:
-            return m.end()
-    return len(markup)
-
-
-def _item(markup: str, at: int, out: _Out, ignore_headings: bool) -> int:
-    out.break_lines(2)
-    while at < len(markup) and markup[at] in "*- \t":
-        at += 1
-    stops = [k for k in (markup.find("\n", at), markup.find("<!--", at)) if k >= 0]
-    stop = min(stops, default=len(markup))
-    try:
-        out.write(plain_text(markup[at:stop], ignore_headings))
-    except MarkupError as e:
-        raise MarkupError(str(e), e.at + at) from None
-    out.break_lines(2)
-    return stop
+    Links leave their label (none at all if it has a colon), files and images their caption as a paragraph; comments,
+    elements with their content, templates and tables go; list items and headings become paragraphs; the article ends
+    at a heading such as References; runs of apostrophes go.
+    """
+    return _Article(markup, ignore_headings).text(0, len(markup))
 
 
 def place_of(text: str, at: int) -> tuple[int, int]:
@@ -213,8 +237,9 @@ def textify(articles: DataFrame, ignore_headings: bool = False, markup: str = "m
             for x in batch.column(at).to_pylist():
                 text, problem = None, None
                 if x is not None:
+                    x = decoded(x) if unescape else x
                     try:
-                        text = plain_text(decoded(x) if unescape else x, ignore_headings).lstrip("\n\r ")
+                        text = plain_text(x, ignore_headings).lstrip("\n\r ")
                     except MarkupError as e:
                         line, col = place_of(x, e.at)
                         problem = {"message": str(e), "line": line, "col": col, "snippet": snippet(x, e.at)}

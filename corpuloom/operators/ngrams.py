@@ -4,26 +4,28 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BEGIN, END = "<s>", "</s>"
 
 
-def ngrams_of(words: Column, n: int) -> Column:
-    """The n-grams of a line's words as array<string>: n - 1 marks before, one behind, so size(words) + 1 of them."""
+def each_ngram(rows: DataFrame, words: str = "words", n: int = 2, *others: str) -> DataFrame:
+    """(others, ngram): a row an n-gram. A line of m > 0 words has m + 1: n - 1 marks stand before, one behind.
+
+    The places are exploded and the words taken by their place, so that all of it is compiled code.
+    """
     if n < 1:
         raise ValueError("n must be at least 1")
-    padded = F.concat(F.array_repeat(F.lit(BEGIN), n - 1), words, F.array(F.lit(END)))
-    if n == 1:
-        return padded
-    return F.transform(F.sequence(F.lit(1), F.size(words) + 1), lambda k: F.array_join(F.slice(padded, k, n), " "))
+    padded = F.concat(F.array_repeat(F.lit(BEGIN), n - 1), F.col(words), F.array(F.lit(END)))
+    placed = rows.where(F.size(words) > 0).select(*others, padded.alias("__p"))
+    placed = placed.select(*others, "__p", F.explode(F.sequence(F.lit(0), F.size("__p") - n)).alias("__k"))
+    return placed.select(*others, F.concat_ws(" ", *(F.get("__p", F.col("__k") + j) for j in range(n))).alias("ngram"))
 
 
 def ngram_counts(rows: DataFrame, words: str = "words", n: int = 2) -> DataFrame:
     """(ngram, cnt) over all rows with at least one word. Counted map-side first: a frequent n-gram is one row a task."""
-    some = rows.where(F.size(words) > 0)
-    return some.select(F.explode(ngrams_of(F.col(words), n)).alias("ngram")).groupBy("ngram").agg(F.count("*").alias("cnt"))
+    return each_ngram(rows, words, n).groupBy("ngram").agg(F.count("*").alias("cnt"))
 
 
 def total(counts: DataFrame) -> DataFrame:
@@ -69,3 +71,13 @@ def check_total(counts: DataFrame, expected: DataFrame) -> DataFrame:
 def dictionary(counts: DataFrame) -> DataFrame:
     """(word, cnt) of a unigram table; repeated words add up."""
     return counts.groupBy(F.col("ngram").alias("word")).agg(F.sum("cnt").alias("cnt"))
+
+
+#: What may be broadcast: as many bytes of words, counted before, whatever the number of rows.
+MOST_BROADCAST = 64 << 20
+
+
+def hint_if_small(words: DataFrame, column: str, most_bytes: int = MOST_BROADCAST) -> DataFrame:
+    """words, to be broadcast if its column and 16 bytes a row were counted to be at most most_bytes; else joined by a shuffle."""
+    size = words.agg(F.sum(F.octet_length(column) + F.lit(16)).cast("long")).first()[0] or 0
+    return F.broadcast(words) if size <= most_bytes else words

@@ -7,6 +7,17 @@ from pyspark.sql import functions as F
 
 from corpuloom.functions.text import count_of, key_of
 
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """df, dealt out over the cores if it is read in fewer parts than there are cores; no row is dropped or changed.
+
+    A file of one row group is one task whatever its size; a table of many files is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 PAGE = "title string, redirect struct<_title: string, _VALUE: string>, revision array<struct<text: string>>"
 
 
@@ -56,9 +67,29 @@ def unigram_dictionary(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     return counts.groupBy(F.col("ngram").alias("word")).agg(F.sum("cnt").alias("cnt")), int(n)
 
 
-def byte_range(spark: SparkSession, path: str, start: int, end: int) -> DataFrame:
-    """(path, content): bytes start up to but not with end of each file; a range past its end is cut there."""
+def byte_range(spark: SparkSession, path: str, start: int, end: int, piece: int = 64 << 20) -> DataFrame:
+    """(path, at, content): bytes start up to but not with end of each file, in pieces of at most `piece` bytes.
+
+    at: where the piece stands in its file. A range past a file's end is cut there; a file without any byte of the
+    range has one empty piece. Each piece is read on its own by a seek, so files may be of any size.
+    """
     if start < 0 or end < start:
         raise ValueError("0 <= start <= end")
-    raw = spark.read.format("binaryFile").load(path)
-    return raw.select("path", F.substring("content", start + 1, end - start).alias("content"))
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    first, last = F.least(F.lit(start), "length"), F.least(F.lit(end), "length")
+    n = F.greatest(F.ceil((last - first) / piece), F.lit(1))
+    pieces = files.select("path", first.alias("first"), last.alias("last"), F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("k"))
+    pieces = pieces.select("path", (F.col("first") + F.col("k") * piece).alias("at"), F.least("last", F.col("first") + (F.col("k") + 1) * piece).alias("to"))
+
+    def read(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            for name, at, to in zip(*(c.to_pylist() for c in batch.columns)):
+                system, inner = fs.FileSystem.from_uri(name if "://" in name or not name.startswith("file:/") else "file://" + name[5:])
+                with system.open_input_file(inner) as f:
+                    content = f.read_at(to - at, at) if to > at else b""
+                yield pa.record_batch([pa.array([name]), pa.array([at], pa.int64()), pa.array([content], pa.binary())], ["path", "at", "content"])
+
+    return pieces.repartition("path", "at").mapInArrow(read, "path string, at long, content binary")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuloom.functions.text import split_sentences, tokenize
 from corpuloom.operators.collocations import pair_counts, with_context_in_document
-from corpuloom.operators.ngrams import ngram_counts
+from corpuloom.operators.ngrams import each_ngram, ngram_counts
 
 
 def read_texts(spark: SparkSession, path: str, files_per_trigger: int = 64) -> DataFrame:
@@ -34,9 +34,7 @@ def collocation_stream(docs: DataFrame, text: str = "line") -> DataFrame:
 
 def windowed_counts(rows: DataFrame, time: str, window: str, late: str, words: str = "words", n: int = 1) -> DataFrame:
     """N-gram counts by windows of event time, with a watermark, for append mode."""
-    from corpuloom.operators.ngrams import ngrams_of
-
-    each = rows.withWatermark(time, late).where(F.size(words) > 0).select(time, F.explode(ngrams_of(F.col(words), n)).alias("ngram"))
+    each = each_ngram(rows.withWatermark(time, late), words, n, time)
     return each.groupBy(F.window(time, window), "ngram").agg(F.count("*").alias("cnt"))
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpuloom.operators import ngrams
-from corpuloom.sources import readers, writers
+from corpuloom.sources import readers, workspace, writers
 from corpuloom.streaming import streams
 
 DUMP = """<mediawiki><page><title>Foo</title><revision><text>first</text></revision><revision><text xml:space="preserve">last  </text></revision></page>
@@ -57,8 +57,8 @@ def test_count_tables(spark, tmp_path):
     writers.write_count_table(counts, str(tmp_path / "k"))
     assert read(tmp_path / "k") == "9\n2\ta\n2\tb\n5\tc d\n"
     writers.write_count_table(counts, str(tmp_path / "f"), by_frequency=True, compression="bzip2")
-    packed = glob.glob(str(tmp_path / "f" / "part-*.bz2"))
-    assert bz2.open(packed[0], "rt").read() == "9\n5\tc d\n2\tb\n2\ta\n"
+    packed = sorted(glob.glob(str(tmp_path / "f" / "part-*.bz2")))
+    assert "".join(bz2.open(p, "rt").read() for p in packed) == "9\n5\tc d\n2\tb\n2\ta\n"
     back, totals, bad = readers.count_table(spark, str(tmp_path / "f"))
     assert {(r.ngram, r.cnt) for r in back.collect()} == {("a", 2), ("b", 2), ("c d", 5)} and totals.first().total == 9 and bad.count() == 0
     words, n = readers.unigram_dictionary(spark, put(tmp_path / "u.txt", "6\n1\ta\n2\ta\nnonsense\n3\tb\n"))
@@ -84,6 +84,32 @@ def test_byte_ranges(spark, tmp_path):
     assert cut(2, 5) == b"234" and cut(0, 100) == b"0123456789" and cut(8, 99) == b"89" and cut(4, 4) == b""
     with pytest.raises(ValueError):
         readers.byte_range(spark, path, 5, 2)
+    pieces = readers.byte_range(spark, path, 1, 9, piece=3)
+    assert sorted((r.at, bytes(r.content)) for r in pieces.collect()) == [(1, b"123"), (4, b"456"), (7, b"78")]
+    writers.write_bytes(pieces, str(tmp_path / "cut"))
+    assert b"".join(open(p, "rb").read() for p in sorted(glob.glob(str(tmp_path / "cut" / "*")))) == b"12345678"
+
+
+def test_shared_folder(spark):
+    class Cluster:
+        conf = {}
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+            class _jsc:  # noqa: N801
+                @staticmethod
+                def sc():
+                    return type("c", (), {"getCheckpointDir": lambda self: type("o", (), {"isEmpty": lambda self: True})()})()
+
+    with pytest.raises(RuntimeError):
+        workspace.shared_dir(Cluster)
+    path = workspace.new_path(spark, "x")
+    writers.stage(spark.range(3).toDF("x"), path)
+    workspace.delete(spark, path)
+    assert not os.path.exists(path.removeprefix("file:"))
+    few = spark.range(5, numPartitions=1).toDF("x")
+    assert sorted(r.x for r in readers.dealt(few).collect()) == list(range(5)) and readers.dealt(few).rdd.getNumPartitions() == 4
 
 
 def test_text_lines(spark, tmp_path):

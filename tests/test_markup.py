@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 
 from corpuloom.operators import articles, markup
@@ -43,6 +46,26 @@ def test_rules(text, expected):
     assert markup.plain_text(text).lstrip("\n\r ") == expected
 
 
+@pytest.mark.parametrize("unit", ["[ ", "[[a|", "{{ ", "< ", "* a\n", "a | ", "= a", "="])
+def test_long_markup_takes_linear_time(unit):
+    began = time.process_time()
+    try:
+        markup.plain_text(unit * 60_000)
+    except RecursionError:
+        pass
+    assert time.process_time() - began < 10
+
+
+def test_runs_of_equal_signs_match_as_the_pattern_does():
+    rnd = random.Random(1)
+    for _ in range(3000):
+        text = "".join(rnd.choice(["=" * 17, "=" * 20, "=" * 40, "=", "a", " ", "\n"]) for _ in range(rnd.randint(0, 7)))
+        at = text.find("=")
+        if at >= 0:
+            got, want = markup._Article(text, False).heading(at, len(text)), markup.HEADING.match(text, at)
+            assert (got and (got.span(), got[2])) == (want and (want.span(), want[2])), text
+
+
 def test_headings_left_out():
     assert markup.plain_text("== H ==\nx", ignore_headings=True).strip() == "x"
 

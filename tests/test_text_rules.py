@@ -78,6 +78,15 @@ def test_tokens(spark, options):
     assert got == [e for _, e in cases]
 
 
+def test_long_runs_of_abbreviations(spark):
+    """Runs that a regex must not recurse over; they are one word each, or one sentence."""
+    runs = ["a." * 100_000, "Ab." * 100_000, "U.S." + " " * 1_000_000 + "end", "see " + "a." * 50_000 + "bc d", "(" * 20_000 + "x" + ")" * 20_000]
+    rows = spark.createDataFrame([(k, x) for k, x in enumerate(runs)], "doc_id int, text string")
+    words = {r.doc_id: r.w for r in rows.select("doc_id", T.tokenize(F.col("text")).alias("w")).collect()}
+    assert words[0] == [runs[0]] and words[1] == [runs[1].lower()] and words[2] == ["u.s.", "end"] and words[3][0] == "see" and words[4] == []
+    assert sentences(rows).where("doc_id < 4").count() == 4
+
+
 def test_null_line(spark):
     assert spark.createDataFrame([(None,)], "t string").select(T.tokenize(F.col("t")).alias("w")).first().w is None
 

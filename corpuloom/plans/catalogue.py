@@ -9,13 +9,21 @@ from pyspark.sql import functions as F
 
 from corpuloom.functions import text as T
 from corpuloom.operators import articles, association, collocations, markup, ngrams, sentences, tokens
-from corpuloom.plans import duck
+from corpuloom.plans import duck, roundtrips
+from corpuloom.sources import workspace
+from corpuloom.sources.readers import dealt
+from corpuloom.sources.writers import stage
 
 CUTOFF = 50
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return dealt(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder, for plans that read it more than once."""
+    return stage(df, workspace.new_path(df.sparkSession, "staged"))
 
 
 def line_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,9 +94,8 @@ def collocations_by_word(spark, sf_dir):
 
 def frequent_pairs(spark, sf_dir, cutoff=CUTOFF):
     """Pairs of words that both occur at least cutoff times; rarer words go before the pairs are made."""
-    rows = neighbour_rows(spark, sf_dir)
-    unigrams = ngrams.dictionary(ngrams.ngram_counts(line_words(spark, sf_dir), n=1))
-    kept = collocations.pruned(rows, unigrams, cutoff)
+    unigrams = staged(ngrams.dictionary(ngrams.ngram_counts(line_words(spark, sf_dir), n=1)))
+    kept = collocations.pruned(neighbour_rows(spark, sf_dir), unigrams, cutoff)
     return collocations.collocations(kept), unigrams
 
 
@@ -96,11 +103,44 @@ def collocations_frequent(spark, sf_dir):
     return frequent_pairs(spark, sf_dir)[0]
 
 
+def rounded(scores):
+    return scores.select(F.round("norm_mi", 6).alias("norm_mi"), F.round("mi", 4).alias("mi"), "cnt", "w", "v")
+
+
 def association_cutoff(spark, sf_dir, cutoff=CUTOFF):
     pairs, unigrams = frequent_pairs(spark, sf_dir, cutoff)
     total = ngrams.total(unigrams).first()["total"]
-    scores = association.association(pairs, unigrams, total, cutoff)
-    return scores.select(F.round("norm_mi", 6).alias("norm_mi"), F.round("mi", 4).alias("mi"), "cnt", "w", "v")
+    return rounded(association.association(staged(pairs), unigrams, total, cutoff))
+
+
+def talk_words(spark, sf_dir):
+    """(doc_id, para_id, sent_id, words): tokens of the conversations, a turn a paragraph, its sentences in order."""
+    talks = table(spark, sf_dir, "conversations").withColumn("doc_id", F.col("conv_id") * 1000 + F.col("turn"))
+    rows = tokens.tokens(sentences.sentences(talks), "sentence")
+    return rows.select(F.floor(F.col("doc_id") / 1000).alias("doc_id"), ((F.col("doc_id") % 1000) * 1000 + F.col("para_id")).alias("para_id"), "sent_id", "words")
+
+
+def collocations_paragraphs(spark, sf_dir):
+    """All pairs, nothing pruned, over the paragraphs of the conversations."""
+    return collocations.collocations(talk_words(spark, sf_dir))
+
+
+def talk_association(spark, sf_dir):
+    words = staged(talk_words(spark, sf_dir))
+    unigrams = staged(ngrams.dictionary(ngrams.ngram_counts(words, n=1)))
+    return staged(collocations.collocations(words)), unigrams
+
+
+def association_uncut(spark, sf_dir):
+    """Every pair of the conversations scored, without any cutoff."""
+    pairs, unigrams = talk_association(spark, sf_dir)
+    return rounded(association.association(pairs, unigrams, ngrams.total(unigrams).first()["total"]))
+
+
+def association_rejects(spark, sf_dir):
+    """Pairs with a word that a dictionary of the words of at least three occurrences lacks."""
+    pairs, unigrams = talk_association(spark, sf_dir)
+    return association.unknown(pairs, unigrams.where("cnt >= 3")).select("w", "v", "cnt")
 
 
 def association_top(spark, sf_dir):
@@ -110,7 +150,7 @@ def association_top(spark, sf_dir):
     """
     from pyspark.sql import Window
 
-    unigrams = ngrams.dictionary(ngrams.ngram_counts(line_words(spark, sf_dir), n=1))
+    unigrams = staged(ngrams.dictionary(ngrams.ngram_counts(line_words(spark, sf_dir), n=1)))
     total = F.lit(float(ngrams.total(unigrams).first()["total"]))
     some = unigrams.orderBy(F.desc("cnt"), "word").limit(20).collect()
     lines = F.filter(F.split("text", "\n", -1), lambda x: F.octet_length(x) < 8192)
@@ -202,6 +242,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "collocations_frequent": collocations_frequent,
     "association_cutoff": association_cutoff,
     "association_top": association_top,
+    "collocations_paragraphs": collocations_paragraphs,
+    "association_uncut": association_uncut,
+    "association_rejects": association_rejects,
     "namespace_redirect_filter": namespace_redirect_filter,
     "title_slug": title_slug,
     "slug_collisions": slug_collisions,
@@ -212,8 +255,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return QUERIES | roundtrips.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return duck.oracles(CUTOFF)
+    return duck.oracles(CUTOFF) | roundtrips.oracle_sql()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 BLANKS = r"[ \t\n\x0B\f\r]"
 OPEN, CLOSE, DOT, COMMA, BLANK, LINE, TAB, FEED, RETURN, SENTENCE, PARAGRAPH = (f"chr({0xFDD0 + k})" for k in range(11))
 SEPARATORS = '.,!?()&@[]{}/\\"#:;<>^*=-”−—–'
@@ -85,9 +87,8 @@ def sentence_steps(source: str) -> str:
     return ", ".join(out)
 
 
-def pair_steps(cutoff: int | None) -> str:
-    """A chain of CTEs from words to pairs(w, v, cnt)."""
-    frequent = f"frequent AS (SELECT list(ngram) AS known FROM uni WHERE cnt >= {cutoff}), " if cutoff else ""
+def pair_steps(cutoff: int | None, chosen: str = "TRUE") -> str:
+    """A chain of CTEs from words to pairs(w, v, cnt); chosen: a condition on w."""
     words = "words" if not cutoff else "coalesce(kept, []::VARCHAR[])"
     kept = ""
     if cutoff:
@@ -95,18 +96,30 @@ def pair_steps(cutoff: int | None) -> str:
             "kept AS (SELECT doc_id, line_id, list(word ORDER BY k) AS kept FROM (SELECT doc_id, line_id, unnest(range(len(words))) AS k, unnest(words) AS word FROM words) "
             f"WHERE word IN (SELECT ngram FROM uni WHERE cnt >= {cutoff}) GROUP BY ALL), "
         )
-        frequent = ""
     source = "(SELECT w.doc_id, w.line_id, w.line, " + words + " AS words FROM words w" + (" LEFT JOIN kept USING (doc_id, line_id)" if cutoff else "") + ")"
     return (
-        f"uni AS ({grams(1)}), {frequent}{kept}near AS (SELECT words, list_distinct(list_concat(list_concat("
+        f"uni AS MATERIALIZED ({grams(1)}), {kept}near AS (SELECT words, list_distinct(list_concat(list_concat("
         "coalesce(lag(words) OVER o, []::VARCHAR[]), words), coalesce(lead(words) OVER o, []::VARCHAR[]))) AS context "
         f"FROM {source} WHERE strlen(line) < 8192 WINDOW o AS (PARTITION BY doc_id ORDER BY line_id)), "
-        "occ AS (SELECT unnest(words) AS w, context FROM near), pairs AS (SELECT w, v, count(*) AS cnt FROM (SELECT w, unnest(context) AS v FROM occ) GROUP BY w, v)"
+        "occ AS (SELECT unnest(words) AS w, context FROM near), pairs AS MATERIALIZED (SELECT w, v, count(*) AS cnt FROM (SELECT w, unnest(context) AS v FROM occ WHERE " + chosen + ") GROUP BY w, v)"
     )
 
 
+def unescaped(x: str) -> str:
+    """Character references that end in a semicolon, by a map of HTML 5's names of up to eight letters and by number."""
+    names = {k[:-1]: v for k, v in html5.items() if k.endswith(";") and len(k) <= 9}
+    quote = lambda t: "'" + t.replace("'", "''") + "'"
+    known = f"MAP {{{', '.join(f'{quote(k)}: {quote(v)}' for k, v in names.items())}}}"
+    name = "regexp_extract(p, '^(#[xX][0-9a-fA-F]+|#[0-9]+|\\w{1,8});', 1)"
+    number = f"CASE WHEN {name}[2] IN ('x', 'X') THEN ('0x' || {name}[3:])::BIGINT ELSE ({name}[2:])::BIGINT END"
+    char = f"CASE WHEN {name} = '' THEN NULL WHEN {name}[1] = '#' THEN chr(({number})::INTEGER) ELSE ({known})[{name}] END"
+    rest = f"substr(p, length({name}) + 2)"
+    each = f"list_transform(string_split({x}, '&')[2:], lambda p: coalesce({char} || {rest}, '&' || p))"
+    return f"string_split({x}, '&')[1] || array_to_string({each}, '')"
+
+
 SCORED = """
-scored AS (
+scored AS MATERIALIZED (
   SELECT p.w, p.v, p.cnt, p.cnt::DOUBLE * n.total * n.total / (a.cnt::DOUBLE * a.cnt::DOUBLE * b.cnt::DOUBLE) AS mi
   FROM pairs p JOIN uni a ON a.ngram = p.w JOIN uni b ON b.ngram = p.v, (SELECT sum(cnt)::DOUBLE AS total FROM uni) n
   WHERE a.cnt >= {cutoff} AND b.cnt >= {cutoff}
@@ -114,6 +127,16 @@ scored AS (
   SELECT s.mi / nullif(o.mi, 0) AS norm_mi, s.mi, s.cnt, s.w, s.v FROM scored s LEFT JOIN (SELECT w, mi FROM scored WHERE w = v) o ON o.w = s.w
 )"""
 
+# The conversations: a turn is a paragraph, its sentences are in order.
+TALK_STEPS = (
+    "talks AS (SELECT conv_id * 1000 + turn AS doc_id, text FROM conversations), " + sentence_steps("talks") + ", "
+    "lines AS (SELECT doc_id * 1000 + para_id AS doc_id, sent_id AS line_id, sentence AS line FROM sents), " + tokens() + ", "
+    f"uni AS MATERIALIZED ({grams(1, 'toks')}), "
+    "near AS (SELECT words, list_distinct(list_concat(list_concat(coalesce(lag(words) OVER o, []::VARCHAR[]), words), coalesce(lead(words) OVER o, []::VARCHAR[]))) AS context "
+    "FROM toks WINDOW o AS (PARTITION BY doc_id ORDER BY line_id)), "
+    "occ AS (SELECT unnest(words) AS w, context FROM near), pairs AS MATERIALIZED (SELECT w, v, count(*) AS cnt FROM (SELECT w, unnest(context) AS v FROM occ) GROUP BY w, v)"
+)
+
 TITLED = """titled AS (
   SELECT doc_id, list_extract(['', 'Category:', 'wikipedia:', 'File:', 'TEMPLATE:', 'Portal:'], doc_id % 6 + 1) || replace(substr(text, 1, 30), chr(10), ' / ') AS title,
          CASE WHEN doc_id % 11 <> 0 THEN text END AS markup, doc_id % 7 = 0 AS is_redirect
@@ -136,7 +159,7 @@ def oracles(cutoff: int) -> dict[str, str]:
         "ngram_filtered_total": f"{bigrams} SELECT coalesce(sum(cnt), 0)::BIGINT AS total FROM c WHERE cnt >= 5",
         "ngram_sort_topk": f"{bigrams} SELECT ngram, cnt FROM c ORDER BY cnt DESC, ngram DESC LIMIT 100",
         "merge_counts": f"{base} SELECT ngram, sum(cnt)::BIGINT AS cnt FROM ({both}) GROUP BY ngram",
-        "total_check": f"{bigrams} SELECT sum(cnt)::BIGINT AS expected, sum(cnt)::BIGINT AS actual, TRUE AS matches FROM c",
+        "total_check": f"{base}, merged AS ({both}), lens AS (SELECT len(words) + 1 AS n FROM words WHERE len(words) > 0), e AS (SELECT sum(cnt)::BIGINT AS expected FROM merged), a AS (SELECT sum(n)::BIGINT AS actual FROM lens) SELECT expected, actual, expected = actual AS matches FROM e, a",
         "malformed_counts": f"{base} {grams(1)}",
         "token_bigrams": f"WITH {sentence_steps('documents')}, lines AS (SELECT doc_id, 0 AS line_id, sentence AS line FROM sents), {tokens()} {grams(2, 'toks')}",
         "tokenize_default": f"WITH {LINES}, {tokens()} {rendered}",
@@ -151,7 +174,10 @@ def oracles(cutoff: int) -> dict[str, str]:
         "collocations_by_word": f"{base}, {pair_steps(None)} SELECT w, count(*) AS partners, sum(cnt)::BIGINT AS cnt FROM pairs GROUP BY w",
         "collocations_frequent": f"{base}, {pair_steps(cutoff)} SELECT w, v, cnt FROM pairs",
         "association_cutoff": f"{base}, {pair_steps(cutoff)}, {SCORED.format(cutoff=cutoff)} SELECT round(norm_mi, 6) AS norm_mi, round(mi, 4) AS mi, cnt, w, v FROM normed",
-        "association_top": f"{base}, {pair_steps(cutoff)}, {SCORED.format(cutoff=cutoff)} SELECT w, v, cnt, place FROM (SELECT *, row_number() OVER (PARTITION BY w ORDER BY round(mi, 4) DESC, v) AS place FROM normed WHERE w IN (SELECT ngram FROM uni ORDER BY cnt DESC, ngram LIMIT 20)) WHERE place <= 10",
+        "association_top": f"{base}, {pair_steps(None, 'w IN (SELECT ngram FROM uni ORDER BY cnt DESC, ngram LIMIT 20)')}, {SCORED.format(cutoff=0)} SELECT w, v, cnt, place FROM (SELECT *, row_number() OVER (PARTITION BY w ORDER BY round(mi, 4) DESC, v) AS place FROM normed WHERE w IN (SELECT ngram FROM uni ORDER BY cnt DESC, ngram LIMIT 20)) WHERE place <= 10",
+        "collocations_paragraphs": f"WITH {TALK_STEPS} SELECT w, v, cnt FROM pairs",
+        "association_uncut": f"WITH {TALK_STEPS}, {SCORED.format(cutoff=0)} SELECT round(norm_mi, 6) AS norm_mi, round(mi, 4) AS mi, cnt, w, v FROM normed",
+        "association_rejects": f"WITH {TALK_STEPS}, known AS (SELECT ngram FROM uni WHERE cnt >= 3) SELECT w, v, cnt FROM pairs WHERE w NOT IN (SELECT ngram FROM known) OR v NOT IN (SELECT ngram FROM known)",
         "namespace_redirect_filter": f"WITH {TITLED} SELECT doc_id, title FROM titled WHERE NOT is_redirect AND markup IS NOT NULL AND NOT (contains(title, ':') AND lower(split_part(title, ':', 1)) IN ('wikipedia', 'category', 'template'))",
         "title_slug": f"WITH {TITLED} SELECT doc_id, slug FROM slugged",
         "slug_collisions": f"WITH {TITLED} SELECT slug, max(doc_id) AS doc_id, count(*) AS n_alike FROM slugged GROUP BY slug",
@@ -159,5 +185,6 @@ def oracles(cutoff: int) -> dict[str, str]:
     text = "html"
     for name, char in (("&nbsp;", "chr(160)"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&apos;", "''''"), ("&#39;", "''''"), ("&ndash;", "'–'"), ("&mdash;", "'—'"), ("&amp;", "'&'")):
         text = f"replace({text}, '{name}', {char})"
+    out["html_unescape_full"] = f"SELECT page_id, {unescaped('html')} AS html FROM pages"
     out["html_unescape"] = f"SELECT page_id, {text} AS html FROM pages"
     return out

@@ -1,10 +1,16 @@
 """Main text of web pages by tag-path ratios.
 
-A page is cut into text blocks, each with the path of tags from the root to it. For every path the length of text and
-the number of punctuation marks are summed over its blocks; both ratios (per block) are smoothed over the page's
-blocks in order, fused by multiplication and compared with a threshold taken from the page. The blocks that pass point
-to the content node: the deepest element that holds them all. Its text is the page's main text, without elements that
-say of themselves that they are menus, headers, footers, sidebars, notices, adverts, forms or comments.
+A page is cut into text blocks, each with the path of tags from the root to it (a tag with its class is another step
+than the tag alone). For every path the length of text outside links and the number of punctuation marks are summed
+and both taken per block; the two ratios are fused by multiplication and weighted by the number of blocks, so that a
+path of many sentences stands out. The scores are smoothed over neighbouring blocks, the more the closer these stand in
+the tree, and compared with a threshold relative to the page's highest. The blocks that pass point to the content
+node: from the root down, the element that holds nearly all of their score. Its blocks are the main text, but for
+runs of links and what a name speaks against that doesn't pass.
+
+Only what HTML itself says isn't text of the page goes by its tag (scripts, styles, forms and their controls, hidden
+elements) or is by definition beside the main text (nav, footer, aside, header outside an article). An article or
+main element, and a class such as ad or comment, are evidence: a factor of the score, never a decision.
 """
 
 from __future__ import annotations
@@ -16,8 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|itemprop|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
+#: For the rest of a page with a quote that never ends: a tag ends at the next >.
+LOOSE_TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)([^>]*)>")
+ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…、。，！？؟،]")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -26,199 +34,278 @@ RAW = frozenset("script style textarea title xmp noembed noframes".split())
 RAW_END = {tag: re.compile("</" + tag, re.I | re.A) for tag in RAW}
 SKIPPED = frozenset("script style template noscript head nav footer aside form button select textarea option dialog menu iframe object svg canvas audio video label fieldset".split())
 BLOCK = frozenset("html body article section main div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd pre blockquote figure figcaption table thead tbody tfoot tr caption header footer nav aside form address hr details summary center fieldset menu hgroup".split())
+CELL = frozenset(("td", "th"))
+HEADING = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+#: Elements of running text: the content node is never one of them, but what they stand in.
+LEAF = HEADING | frozenset("p li dt dd pre blockquote figcaption caption tr td th summary address".split())
 #: A start tag of the key ends an open element of the value, as long as no element of BARRIER stands between.
 P_ENDS = BLOCK - {"html", "body"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BARRIER = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
-NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscribe|subscription|paywall|sidebar|side-bar|widgets?|nav|navbar|navigation|menus?|breadcrumbs?|pagination|pager|footer|site-header|page-header|masthead|topbar|toolbar|share|sharing|social|related|recommended|recommendations|trending|comments?|commentlist|disqus|replies|respond|discussion|feedback|login|signup|search|skip-link|copyright|legal|disclaimer)(?:$|[\s_-])",
-    re.I,
-)
-SITE_HEADER = re.compile(r"(?:^|\s)(?:header|top-?header|main-?header|header-?(?:bar|wrapper|container))(?:$|\s)", re.I)
-#: Class tokens that tell of a layout or of content, whatever else is in them.
-LAYOUT = re.compile(r"(?:^|(?<=\s))(?:(?:no|has|with|without)[-_]\S+|\S+[-_](?:article|news|story))(?=\s|$)", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
-HOLDER = re.compile(r"<(?:article|main)[\s>]", re.I)
-KEPT_NAMES = frozenset(("html", "body", "article", "main"))
+#: Within running text only what names itself an advert is left out.
+INLINE_AGAINST = re.compile(r"(?:^|\s)(?:ads?|advert|advertisement|sponsored)(?=\s|$)", re.I)
+#: Names that speak against an element, as a whole token of a class or id or its last part.
+AGAINST = re.compile(r"(?:^|\s)(?:[\w]+[-_])*(?:ads?|advert|advertisement|promo|sponsored|banner|cookies?|consent|notice|popup|newsletter|sidebar|navbar|menu|breadcrumbs?|footer|share|social|related|comments?|search)(?=\s|$)", re.I)
+SITE_AGAINST = re.compile(r"(?:^|\s)(?:[\w]+[-_])*header(?=\s|$)", re.I)  # outside an article
+LAYOUT = re.compile(r"(?:^|(?<=\s))(?:(?:no|has|with|without)[-_]\S+)(?=\s|$)", re.I)
+
 
+class Page:
+    """The tree of a page's elements, by number: parent, depth, tag, path (a number for each root-to-element path), weight."""
 
-def named(value: str) -> bool:
-    """Whether a class or id names something other than the main text."""
-    return bool(NAMED.search(value) and NAMED.search(LAYOUT.sub("", value)))
+    def __init__(self):
+        self.parent, self.depth, self.tag, self.path, self.weight = [0], [0], [""], [0], [1.0]
+        self.paths: dict[tuple[int, str], int] = {}
+        self.blocks: list[Block] = []
 
+    def add(self, above: int, tag: str, name: str, weight: float) -> int:
+        self.parent.append(above)
+        self.depth.append(self.depth[above] + 1)
+        self.tag.append(tag)
+        self.path.append(self.paths.setdefault((self.path[above], f"{tag} {name}"), len(self.paths) + 1))
+        self.weight.append(self.weight[above] * weight)
+        return len(self.tag) - 1
 
-def excluded(tag: str, attributes: str, in_article: bool, by_name: bool = True) -> bool:
-    """Whether the element says that it isn't part of the main text; by_name: also by a class or id of NAMED."""
-    if tag in SKIPPED or (tag == "header" and not in_article):
-        return True
-    if not attributes or tag in KEPT_NAMES:
-        return False
-    for name, a, b, c in ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), (a or b or c)
-        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and re.search(r"display\s*:\s*none", value, re.I)):
-            return True
-        if name == "role" and value.lower() in ROLES or name in ("class", "id") and (by_name and named(value) or not in_article and SITE_HEADER.search(value)):
-            return True
-    return False
+    def shared(self, a: int, b: int) -> float:
+        """How near two elements stand: twice the depth of what holds both, over the sum of their depths."""
+        depth, parent = self.depth, self.parent
+        whole = depth[a] + depth[b]
+        while a != b:
+            if depth[a] >= depth[b]:
+                a = parent[a]
+            else:
+                b = parent[b]
+        return 2 * depth[a] / whole if whole else 1.0
 
 
 class Block:
-    """A run of text between block tags: the chain of open block elements, and what is in it."""
+    """A run of text between block tags: the element it stands in, its text, how much of it is in links."""
 
-    __slots__ = ("chain", "path", "text", "linked")
+    __slots__ = ("node", "text", "linked")
 
-    def __init__(self, chain: tuple[int, ...], path: tuple[str, ...], text: str, linked: int):
-        self.chain, self.path, self.text, self.linked = chain, path, text, linked
+    def __init__(self, node: int, text: str, linked: int):
+        self.node, self.text, self.linked = node, text, linked
 
 
-def blocks_of(html: str, lifted: bool = False) -> list[Block]:
-    """The page's text blocks in order, those of excluded elements left out. White space is one space, ends trimmed.
+def attributes_of(tag: str, attributes: str, in_article: bool) -> tuple[bool, str, float]:
+    """(excluded, class, weight): whether the element isn't text of the page, and what its names say for or against it."""
+    gone = tag in SKIPPED or (tag == "header" and not in_article)
+    weight = 10.0 if tag in ("article", "main") and not in_article else 1.0
+    if not attributes or gone:
+        return gone, "", weight
+    name = ""
+    for key, a, b, c in ATTRIBUTE.findall(attributes):
+        key, value = key.lower(), (a or b or c)
+        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and re.search(r"display\s*:\s*none", value, re.I)):
+            gone = True
+        elif key == "role":
+            gone |= value.lower() in ROLES
+        elif key in ("class", "id"):
+            if key == "class":
+                name = " ".join(value.split())
+            if tag not in BLOCK and tag not in CELL:
+                gone |= bool(INLINE_AGAINST.search(value))
+            elif tag not in ("html", "body") and (AGAINST.search(bare := LAYOUT.sub("", value)) or not in_article and SITE_AGAINST.search(bare)):
+                weight = 0.05
+    return gone, name, weight
 
-    lifted: an article or main that isn't named itself opens the elements around it that only a name excludes.
-    """
-    out: list[Block] = []
-    stack: list[tuple[str, int, bool]] = []  # tag, number of the element, excluded itself or by an element around it
+
+def page_of(html: str) -> Page:
+    """The page's tree and its text blocks in order, those of excluded elements left out. White space is one space,
+    ends trimmed. Time is in proportion to the length of the page, whatever is in it."""
+    page = Page()
+    stack: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, element that text stands in, excluded
+    opened: dict[str, int] = {}  # how many elements of a tag are open
     parts: list[str] = []
-    firm: list[int] = []  # numbers of the elements excluded by more than a name
-    state = {"linked": 0}
+    linked, at, end, tag_of = 0, 0, len(html), TAG
 
     def flush():
+        nonlocal linked
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:  # of excluded elements nothing is ever in parts
-                held = [x for x in stack if not x[2] and (x[0] in BLOCK or x[0] in ("td", "th"))]
-                out.append(Block(tuple(x[1] for x in held), tuple(x[0] for x in held), text, min(state["linked"], len(text))))
+                page.blocks.append(Block(stack[-1][1], text, min(linked, len(text))))
             parts.clear()
-        state["linked"] = 0
+        linked = 0
 
     def pop_to(k: int):
+        for tag, _, _ in stack[k:]:
+            opened[tag] -= 1
         del stack[k:]
 
-    at, number, end = 0, 0, len(html)
-    links = 0
+    def innermost(tags) -> int:
+        """The place on the stack of the innermost open element of these tags, or 0."""
+        if not any(opened.get(t) for t in tags):
+            return 0
+        k = len(stack) - 1
+        while stack[k][0] not in tags:
+            k -= 1
+        return k
+
+    def ended_by(tags, barrier) -> int:
+        """The same, but 0 as soon as an element of barrier stands in between."""
+        if not any(opened.get(t) for t in tags):
+            return 0
+        for k in range(len(stack) - 1, 0, -1):
+            if stack[k][0] in tags:
+                return k
+            if stack[k][0] in barrier:
+                return 0
+        return 0
+
+    def put(low: int, high: int):
+        nonlocal linked
+        if high > low and not stack[-1][2]:
+            parts.append(html[low:high])
+            if opened.get("a"):
+                linked += high - low
+
     while at < end:
-        m = TOKEN.search(html, at)
-        stop = m.start() if m else end
-        if stop > at and not (stack and stack[-1][2]):
-            piece = html[at:stop]
-            parts.append(piece)
-            if links:
-                state["linked"] += len(piece)
-        if not m:
+        lt = html.find("<", at)
+        if lt < 0:
+            put(at, end)
             break
-        at = m.end()
-        name = m[1]
-        if name is None:
+        put(at, lt)
+        sign = html[lt + 1 : lt + 2]
+        if sign in ("!", "?"):
+            if html.startswith("<!--", lt):
+                close = html.find("-->", lt + 4)
+                at = end if close < 0 else close + 3
+            else:
+                close = html.find(">", lt)
+                at = end if close < 0 else close + 1
+            continue
+        m = None
+        if sign == "/" or sign.isalpha():
+            m = tag_of.match(html, lt)
+            if m is None and sign.isalpha() and tag_of is TAG:
+                tag_of = LOOSE_TAG
+                m = tag_of.match(html, lt)
+            if m is None and html.find(">", lt) < 0:  # no tag ends any more
+                put(lt, end)
+                break
+        if m is None:
+            put(lt, lt + 1)
+            at = lt + 1
             continue
-        tag = name.lower()
-        if html[m.start() + 1] == "/":
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), -1)
-            if k >= 0:
-                block = any(x[0] in BLOCK for x in stack[k:])
-                if block and not stack[k][2]:
+        at = m.end()
+        tag = m[1].lower()
+        if sign == "/":
+            k = innermost((tag,))
+            if k:
+                if not stack[k][2] and any(x[0] in BLOCK for x in stack[k:]):
                     flush()
-                elif tag in ("td", "th"):
+                elif tag in CELL:
                     parts.append(" ")
                 pop_to(k)
-                links = sum(x[0] == "a" for x in stack)
             elif tag == "p":
                 flush()
             continue
-        within = bool(stack) and stack[-1][2]  # an excluded element: its tags part nothing outside
-        if not within and (tag == "br" or tag in ("td", "th")):
-            parts.append(" ")
-        if tag in BLOCK and not within:
-            flush()
-            if tag in P_ENDS:
-                k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == "p"), -1)
-                if k >= 0 and not any(x[0] in BLOCK or x[0] in ("td", "th") for x in stack[k + 1 :]):
-                    pop_to(k)
-        if tag in CLOSES and not within:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in BARRIER[tag]:
-                    break
-                if stack[k][0] in CLOSES[tag]:
+        within = stack[-1][2]  # in an excluded element: its tags part nothing outside
+        if not within:
+            if tag == "br" or tag in CELL:
+                parts.append(" ")
+            if tag in BLOCK:
+                flush()
+                if tag in P_ENDS and (k := ended_by(("p",), BLOCK | CELL)):
                     pop_to(k)
-                    break
-            links = sum(x[0] == "a" for x in stack)
+            if tag in CLOSES and (k := ended_by(CLOSES[tag], BARRIER[tag])):
+                flush()
+                pop_to(k)
         if tag in VOID:
             continue
-        number += 1
-        if lifted and within and tag in ("article", "main") and not any(a.lower() in ("class", "id") and named(x or y or z) for a, x, y, z in ATTRIBUTE.findall(m[2])):
-            if not any(x[1] in firm for x in stack):
-                stack[:] = [(x[0], x[1], False) for x in stack]
-                within = False
-        gone = within or excluded(tag, m[2], any(x[0] in ("article", "main") for x in stack))
-        if lifted and gone and excluded(tag, m[2], any(x[0] in ("article", "main") for x in stack), by_name=False):
-            firm.append(number)
+        above = stack[-1][1]
+        gone, name, weight = (True, "", 1.0) if within else attributes_of(tag, m[2], bool(opened.get("article") or opened.get("main")))
+        node = above
+        if not gone and (tag in BLOCK or tag in CELL):
+            node = page.add(above, tag, name, weight)
+        stack.append((tag, node, gone))
+        opened[tag] = opened.get(tag, 0) + 1
         if tag in RAW:
+            stack[-1] = (tag, node, True)
             close = RAW_END[tag].search(html, at)
             at = close.start() if close else end
-            stack.append((tag, number, True))
-            continue
-        stack.append((tag, number, gone))
-        if tag == "a":
-            links += 1
     flush()
-    return out
+    return page
 
 
-def smoothed(values: list[float]) -> list[float]:
-    """Each value with half the weight on it and a quarter on either neighbour; ends count themselves instead."""
-    n = len(values)
-    return [0.5 * values[k] + 0.25 * values[max(k - 1, 0)] + 0.25 * values[min(k + 1, n - 1)] for k in range(n)]
+def scores(page: Page) -> list[float]:
+    """The fused, smoothed score of each block by the ratios of its path."""
+    sums: dict[int, list[float]] = {}
+    for b in page.blocks:
+        s = sums.setdefault(page.path[b.node], [0.0, 0.0, 0.0])
+        s[0] += len(b.text) - b.linked  # the text of links is no sign of content
+        s[1] += len(PUNCTUATION.findall(b.text)) if b.linked < len(b.text) else 0
+        s[2] += 1
+    fused = {}
+    for path, (length, marks, n) in sums.items():
+        fused[path] = (length / n) * ((marks + 0.5) / n) * n
+    raw = [fused[page.path[b.node]] for b in page.blocks]
+    near = [page.shared(a.node, b.node) ** 2 for a, b in zip(page.blocks, page.blocks[1:])]
+    out = []
+    for k, own in enumerate(raw):
+        before = raw[k - 1] * near[k - 1] if k else 0.0
+        behind = raw[k + 1] * near[k] if k + 1 < len(raw) else 0.0
+        out.append((0.5 * own + 0.25 * before + 0.25 * behind) * page.weight[page.blocks[k].node])
+    return out
 
 
-def content_blocks(blocks: list[Block], share: float) -> list[Block]:
-    """The blocks of the content node."""
+def content_blocks(page: Page, share: float = 0.3, most: float = 0.75) -> list[Block]:
+    """The blocks of the content node. share: the threshold, of the highest score; most: what the node has to hold."""
+    blocks = page.blocks
     if not blocks:
         return []
-    sums: dict[tuple[str, ...], list[float]] = {}
-    for b in blocks:
-        s = sums.setdefault(b.path, [0.0, 0.0, 0.0])
-        s[0] += len(b.text) - b.linked  # the text of links is no sign of content
-        s[1] += len(PUNCTUATION.findall(b.text))
-        s[2] += 1
-    length = smoothed([sums[b.path][0] / sums[b.path][2] for b in blocks])
-    marks = smoothed([(sums[b.path][1] + 1) / sums[b.path][2] for b in blocks])
-    fused = [a * c for a, c in zip(length, marks)]
-    mean = sum(fused) / len(fused)
-    chosen = [b for b, f in zip(blocks, fused) if f >= share * mean and len(b.text) > b.linked] or blocks
-    # The content node: the deepest element that holds every chosen block, unless that is the whole page.
-    common = chosen[0].chain
-    for b in chosen[1:]:
-        k = 0
-        while k < min(len(common), len(b.chain)) and common[k] == b.chain[k]:
-            k += 1
-        common = common[:k]
-    if len(chosen) == 1:
-        common = common[:-1] if len(common) > 1 else common
-    for name in ("article", "main"):  # a page that names its article: every block of such elements that holds a chosen one
-        named = {b.chain[b.path.index(name)] for b in chosen if name in b.path}
-        if named:
-            return [b for b in blocks if name in b.path and b.chain[b.path.index(name)] in named]
-    depth = len(common)
-    held = [b for b in blocks if b.chain[:depth] == common]
-    if depth and chosen[0].path[depth - 1] not in ("html", "body"):
-        return held
-    picked = {id(b) for b in chosen}
-    return [b for b in held if id(b) in picked or b.linked * 2 < len(b.text)]
-
-
-def main_text(html: str | None, share: float = 0.5) -> str:
+    score = scores(page)
+    least = share * max(score)
+    passes = [s >= least for s in score]
+    mass = [0.0] * len(page.tag)
+    for b, ok in zip(blocks, passes):
+        if ok:
+            mass[b.node] += len(b.text) - b.linked
+    for node in range(len(mass) - 1, 0, -1):
+        mass[page.parent[node]] += mass[node]
+    best = [0] * len(mass)
+    for node in range(1, len(mass)):
+        above = page.parent[node]
+        if page.tag[node] not in LEAF and (not best[above] or mass[node] > mass[best[above]]):
+            best[above] = node
+    node = 0
+    while best[node] and mass[best[node]] >= most * mass[node]:
+        node = best[node]
+    inside = [False] * len(mass)
+    inside[node] = True
+    for k in range(1, len(mass)):
+        inside[k] = inside[k] or inside[page.parent[k]]
+    held = [inside[b.node] for b in blocks]
+    first = held.index(True) if True in held else 0
+    # Headings right before the content node belong to it: those that stand in the element around it.
+    k = first - 1
+    while node and k >= 0 and page.tag[blocks[k].node] in HEADING and page.parent[blocks[k].node] == page.parent[node]:
+        held[k] = passes[k] = True
+        k -= 1
+    whole = page.tag[node] in ("", "html", "body")
+    heaviest = max(page.weight[b.node] for b, h in zip(blocks, held) if h)
+    edge = [k for k, ok in enumerate(passes) if ok and held[k]]
+    out = []
+    for k, b in enumerate(blocks):
+        if not held[k]:
+            continue
+        links = 2 * b.linked > len(b.text)
+        spoken_against = page.weight[b.node] < heaviest
+        # In the whole page only what stands between passing blocks may go without passing.
+        astray = whole and not (edge and edge[0] <= k <= edge[-1] and page.tag[b.node] in LEAF)
+        if passes[k] or not (links or spoken_against or astray):
+            out.append(b)
+    return out
+
+
+def main_text(html: str | None, share: float = 0.3) -> str:
     """The main text: blocks in page order joined by one newline; null, empty or without text: empty."""
-    if not html:
-        return ""
-    blocks = blocks_of(html)
-    found = content_blocks(blocks, share)
-    if not any(name in b.path for b in blocks for name in ("article", "main")) and HOLDER.search(html):
-        inner = [b for b in blocks_of(html, lifted=True) if "article" in b.path or "main" in b.path]
-        if sum(len(b.text) for b in inner) > sum(len(b.text) for b in found):
-            found = content_blocks(inner, share)
-    return "\n".join(b.text for b in found)
-
-
-def main_texts(pages: DataFrame, share: float = 0.5, html: str = "html", id: str = "page_id", url: str = "url") -> DataFrame:
+    return "\n".join(b.text for b in content_blocks(page_of(html), share)) if html else ""
+
+
+def main_texts(pages: DataFrame, share: float = 0.3, html: str = "html", id: str = "page_id", url: str = "url") -> DataFrame:
     """One row a row of pages: id, url, text, n_chars (code points of text).
 
     Null and empty pages give an empty text, as do pages without any. Whole pages are read, however long; broken

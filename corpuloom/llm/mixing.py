@@ -14,7 +14,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuloom.llm.shared import hint_if_few, inner_names, stored
+from corpuloom.llm.shared import inner_names, stored
 
 #: Expected copies are whole multiples of 1 / UNIT: sums are exact, so a rerun or a lost task can't change the mix.
 UNIT = 1 << 26
@@ -55,14 +55,15 @@ def water_level(sources: DataFrame, total: Fraction, most_rounds: int = 10_000)
     raise RuntimeError("the shares of the sources didn't settle")
 
 
-def mix(docs: DataFrame, text: str = "text", id: str = "doc_id", source: str = "source", weights: tuple[int, ...] = (3, 1, 2), share: Fraction = Fraction(3, 2), most: int = 2, seed: int = 42, blocks: int = 64) -> DataFrame:
+def mix(docs: DataFrame, text: str = "text", id: str = "doc_id", source: str = "source", weights: tuple[int, ...] = (3, 1, 2), share: Fraction = Fraction(3, 2), most: int = 2, seed: int = 42, blocks: int = 1024) -> DataFrame:
     """One row a row of docs: id, source, size, source_size, target, copies, taken (copies * size).
 
     Sources in the order of code points, null last, have the weights in turn and share `share` of all words; no
     target is above `most` times the source's size, the excess goes to the others by weight. No row is emitted more
     than `most` times. Null and empty texts have size 0 and take 0. A null source is a source of its own. Repeated
     rows are drawn one by one. An empty table gives an empty table. Other columns of docs aren't read. The mix is a
-    function of the rows and the seed alone.
+    function of the rows and the seed alone. blocks: slices
+    of each size class of a source; a task sorts one, so a source of 10**10 rows still has tasks of some million.
     """
     sized = stored(docs.select(F.col(id).alias("id"), F.col(source).alias("source"), words(F.col(text)).alias("size")))
     per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
@@ -126,10 +127,10 @@ def mixed_documents(docs: DataFrame, text: str = "text", id: str = "doc_id", sou
     rows = inner_names(docs)
     c_id, c_text, c_source = (f"c{docs.columns.index(c)}" for c in (id, text, source))
     same = F.col(c_id).eqNullSafe(F.col("id")) & F.col(c_source).eqNullSafe(F.col("source")) & (words(F.col(c_text)) == F.col("size"))
-    # The texts stay where they are as long as what is drawn was counted to be small; beyond that they move once.
-    out = rows.join(hint_if_few(drawn.where("rows = 1")), same).withColumn("take", F.col("copies"))
+    # Most documents are drawn, so the texts move once to meet their copies, whatever the size of either.
+    out = rows.join(drawn.where("rows = 1").hint("merge"), same).withColumn("take", F.col("copies"))
     if drawn.where("rows > 1").limit(1).count():
         alike = Window.partitionBy("id", "source", "size").orderBy(c_text)
-        more = rows.join(hint_if_few(drawn.where("rows > 1")), same).withColumn("k", F.row_number().over(alike))
+        more = rows.join(drawn.where("rows > 1").hint("merge"), same).withColumn("k", F.row_number().over(alike))
         out = out.unionByName(more.withColumn("take", F.floor(F.col("copies") / F.col("rows")) + (F.col("k") <= F.col("copies") % F.col("rows")).cast("long")).drop("k").where("take > 0"))
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("take")))).select(*rows.columns).toDF(*docs.columns)

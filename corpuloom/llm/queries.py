@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuloom.llm import bpe, embeddings, exact_dedup, html, mixing, quality, simhash, token_counts, toxicity, urls
+from corpuloom.sources.readers import dealt
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return dealt(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +102,7 @@ WITH sized AS (
   SELECT *, {DRAW.format("coalesce(doc_id::VARCHAR, '')")} AS chance FROM sized
 ), placed AS (
   SELECT c.doc_id, c.source, c.size, s.source_size, s.target, s.step,
-         s.step * row_number() OVER (PARTITION BY c.source ORDER BY length(bin(c.size)) * 64 + chance % 64, c.size, chance, doc_id) + s.start AS upto
+         s.step * row_number() OVER (PARTITION BY c.source ORDER BY length(bin(c.size)) * 1024 + chance % 1024, c.size, chance, doc_id) + s.start AS upto
   FROM chanced c JOIN steps s ON c.source IS NOT DISTINCT FROM s.source
 )
 SELECT doc_id, source, size, source_size, target,

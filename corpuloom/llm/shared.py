@@ -2,21 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; only where none is set (local tests), a folder of our own."""
-    context = spark.sparkContext._jsc.sc()
-    if context.getCheckpointDir().isEmpty():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="corpuloom-"))
-    return context.getCheckpointDir().get()
+from corpuloom.sources.workspace import delete, new_path, shared_dir
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -28,32 +18,57 @@ def checkpointed(df: DataFrame) -> DataFrame:
 _TABLES: list[tuple[str, str]] = []
 
 
-def drop_tables(spark: SparkSession) -> None:
-    """Deletes the tables that stored() wrote for this application: to be called once all results are written."""
-    context = spark.sparkContext
-    for app, path in list(_TABLES):
-        if app == context.applicationId:
-            where = context._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
-            _TABLES.remove((app, path))
+def drop_tables(spark: SparkSession, since: int = 0) -> None:
+    """Deletes the tables that stored() wrote for this application: to be called once all results are written.
+
+    since: the number of tables there were before, to delete only those written after that.
+    """
+    app = spark.sparkContext.applicationId
+    for found in [x for x in _TABLES[since:] if x[0] == app]:
+        delete(spark, found[1])
+        _TABLES.remove(found)
+
+
+def tables_written() -> int:
+    return len(_TABLES)
+
+
+def table_path(spark: SparkSession, name: str = "table") -> str:
+    """A new path in the shared folder that drop_tables() deletes."""
+    path = new_path(spark, name)
+    _TABLES.append((spark.sparkContext.applicationId, path))
+    return path
 
 
-def stored(df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
+def stored(df: DataFrame) -> DataFrame:
     """df written once as Parquet in the shared folder and read back: compressed, columnar and safe against lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    _TABLES.append((spark.sparkContext.applicationId, path))
-    df.write.options(**(options or {})).parquet(path)
+    path = table_path(spark)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Up to so many keys (a few dozen bytes each) are broadcast once they have been counted; beyond it they are joined by a shuffle.
-BROADCAST_KEYS = 1_000_000
+#: A filter has at most this many rows of 64 bits, so it may be broadcast whatever the corpus: 262,144 rows, some 10 MB.
+FILTER_ROWS = 1 << 18
+
+
+def filter_of(keys: Column, rows: DataFrame, filter_rows: int = FILTER_ROWS) -> DataFrame:
+    """A Bloom filter of the keys (longs) as a stored table (place, bits) of at most filter_rows rows.
+
+    Past some ten keys a row it lets most others through as well: what it is used for takes more time then and stays right.
+    """
+    slot = F.pmod(keys, F.lit(64 * filter_rows))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(64)).cast("int"))
+    return stored(rows.select(F.shiftright(slot, 6).alias("place"), bit.alias("bit")).groupBy("place").agg(F.bit_or("bit").alias("bits")))
 
 
-def hint_if_few(keys: DataFrame) -> DataFrame:
-    """A stored table of keys, to be broadcast if it was counted to be small."""
-    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+def may_hold(rows: DataFrame, keys: Column, bloom: DataFrame, filter_rows: int = FILTER_ROWS) -> DataFrame:
+    """rows with the column may_hold: false where the filter is sure that the key isn't among those it was made of."""
+    slot = F.pmod(keys, F.lit(64 * filter_rows))
+    bits = bloom.withColumnsRenamed({"place": "__place", "bits": "__bits"})
+    joined = rows.withColumn("__slot", slot).join(F.broadcast(bits), F.shiftright("__slot", 6) == F.col("__place"), "left")
+    hit = F.getbit(F.coalesce("__bits", F.lit(0).cast("long")), F.pmod("__slot", F.lit(64)).cast("int")) == 1
+    return joined.withColumn("may_hold", hit).drop("__slot", "__place", "__bits")
 
 
 def inner_names(docs: DataFrame) -> DataFrame:
@@ -69,18 +84,18 @@ def row_key(text: str) -> Column:
 def without_rows(docs: DataFrame, gone: DataFrame, repeated: DataFrame, text: str, id: str) -> DataFrame:
     """docs without the rows in gone, and with one each of those in repeated; both are (id, row) with row_key().
 
-    Texts are moved only if gone has more than BROADCAST_KEYS rows; of repeated rows, only those rows are.
+    A filter of bounded size tells which rows can't be in either: they stay where they are. The others are shuffled
+    and joined, at every size in the same way.
     """
     rows = inner_names(docs)
     c_id, c_text = (f"c{docs.columns.index(c)}" for c in (id, text))
-    gone, repeated = stored(gone.select("id", "row").distinct()), stored(repeated.select("id", "row").distinct())
-    same = lambda keys: F.col(c_id).eqNullSafe(keys["id"]) & (row_key(c_text) == keys["row"])
-    hinted = hint_if_few(gone)
-    rows = rows.join(hinted, same(hinted), "left_anti")
-    if repeated.limit(1).count():
-        hinted = hint_if_few(repeated)
-        rows = rows.join(hinted, same(hinted), "left_anti").unionByName(rows.join(hinted, same(hinted), "left_semi").dropDuplicates([c_id, c_text]))
-    return rows.toDF(*docs.columns)
+    keys = gone.select("id", "row", F.lit(1).alias("drop")).unionByName(repeated.select("id", "row", F.lit(0).alias("drop")))
+    keys = stored(keys.groupBy(F.col("id").alias("k_id"), F.col("row").alias("k_row")).agg(F.max("drop").alias("drop")))
+    rows = may_hold(rows.withColumn("k", row_key(c_text)), F.col("k"), filter_of(F.col("k_row"), keys))
+    some = rows.where("may_hold").join(keys.hint("merge"), F.col(c_id).eqNullSafe(F.col("k_id")) & (F.col("k") == F.col("k_row")), "left").where("drop is null or drop = 0")
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    once = some.where("drop = 0").select(*names).dropDuplicates([c_id, c_text])
+    return rows.where("not may_hold").select(*names).unionByName(some.where("drop is null").select(*names)).unionByName(once).toDF(*docs.columns)
 
 
 def slices(batches, rows: int = 256):
@@ -173,8 +188,12 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     before = state(pairs)
     for _ in range(most_rounds):
+        # Neighbours' minima are folded map-side. A node that stands behind many edges (the root of a giant component)
+        # gets its minimum by broadcast: fewer than 1,024 nodes hold over 1/1,024 of the edges.
         up = pairs.groupBy("u").agg(F.min("v").alias("m"))
-        large = pairs.join(up.withColumnRenamed("u", "v"), "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
+        behind = pairs.groupBy("v").agg(F.count("*").alias("n"))
+        above = behind.join(up.withColumnRenamed("u", "v"), "v", "left")
+        large = attach_by_group(pairs, above, "v", "n", before[0]).select("u", F.coalesce("m", "v").alias("v")).distinct()
         up = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(up, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
         pairs = checkpointed(small)

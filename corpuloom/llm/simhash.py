@@ -23,7 +23,6 @@ RADIUS = 3
 BLOCKS = ((0, 21), (21, 21), (42, 22))
 #: A key with more fingerprints than this is joined in slices over many tasks instead of within its own.
 RUN = 2048
-SLICES = 32
 
 
 def signed(x: int) -> int:
@@ -165,9 +164,16 @@ def met(batches):
 
 
 def crowded_pairs(hot: DataFrame) -> DataFrame:
-    """Pairs of the crowded keys: one side sliced, the other sent to every slice, so no task has a whole key's pairs."""
-    left = hot.select("block", "key", F.col("fp").alias("a")).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
-    right = hot.select("block", "key", F.col("fp").alias("b")).withColumn("slice", F.pmod(F.xxhash64("b"), F.lit(SLICES)).cast("int"))
+    """Pairs of the crowded keys: one side sliced, the other sent to every slice, so no task has a whole key's pairs.
+
+    A key of n members has about the root of n slices: a task meets n members with n / slices, and no more than
+    n * slices rows are moved.
+    """
+    hot = hot.withColumn("at", F.struct("block", "key"))
+    sizes = hot.groupBy("at").agg(F.count("*").alias("n"), F.ceil(F.sqrt(F.count("*"))).cast("int").alias("slices"))
+    sized = stored(attach_by_group(hot, stored(sizes), "at", "n", hot.count()).select("block", "key", "fp", "slices"))
+    left = sized.select("block", "key", F.col("fp").alias("a"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    right = sized.select("block", "key", F.col("fp").alias("b"), F.pmod(F.xxhash64("fp"), F.col("slices")).cast("int").alias("slice"))
     near = left.join(right, ["block", "key", "slice"]).where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS))
 
     def reported(batches):
@@ -181,7 +187,9 @@ def crowded_pairs(hot: DataFrame) -> DataFrame:
 
 def near_pairs(fps: DataFrame) -> DataFrame:
     """All pairs (a, b) of the distinct fingerprints in column fp that differ in 1 to 3 bits, each once."""
-    spread = variants(fps).repartition("block", "key").sortWithinPartitions("block", "key")
+    # A fingerprint becomes 131 rows, so the few bytes of them are dealt out first.
+    dealt = fps.repartition(max(fps.sparkSession.sparkContext.defaultParallelism, fps.count() // 250_000))
+    spread = variants(dealt).repartition("block", "key").sortWithinPartitions("block", "key")
     found = stored(spread.mapInArrow(met, "a long, b long, block byte, hot boolean"))
     hot = found.where("hot").select("block", F.col("b").alias("key"), F.col("a").alias("fp"))
     return found.where("not hot").select("a", "b").unionByName(crowded_pairs(hot))
@@ -208,8 +216,9 @@ def with_components(docs: DataFrame, text: str, id: str, width: int = 3, seed: i
     degree = both.join(classes.select(F.col("fp").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("others"))
     member = components(links)  # by fingerprint; the smallest id of each component follows
     placed = classes.join(member.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    groups = placed.join(least, "component").join(degree.withColumnRenamed("a", "fp"), "fp", "left").select("fp", "n", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_near"), "component_id")
+    placed = stored(placed)
+    least = stored(placed.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("fps")))
+    groups = attach_by_group(placed, least, "component", "fps", placed.count()).join(degree.withColumnRenamed("a", "fp"), "fp", "left").select("fp", "n", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_near"), "component_id")
     out = attach_by_group(fps, stored(groups), "fp", "n", fps.count())
     return out.select("id", "fp", "row", "n_near", "component_id")
 

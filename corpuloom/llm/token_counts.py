@@ -19,6 +19,12 @@ from pyspark.sql import functions as F
 # Unicode's White_Space, spelled out: Python's \s also has U+001C to U+001F, which the library's doesn't.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 UNITS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+CUT = re.compile(f"(?<=[^{WHITE}])[{WHITE}]")
+
+
+def n_bytes(text: str) -> int:
+    """Bytes of UTF-8, without encoding what is plain ASCII."""
+    return len(text) if text.isascii() else len(text.encode("utf-8", "replace"))
 
 
 class UnitLengths(dict):
@@ -44,7 +50,7 @@ class UnitLengths(dict):
         batch, size = [], 0
         for k, unit in enumerate(units):
             batch.append(unit)
-            size += len(unit)
+            size += n_bytes(unit)
             if size >= self.batch_bytes or k == len(units) - 1:
                 out.update(zip(batch, (len(e) for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False))))
                 batch, size = [], 0
@@ -56,7 +62,8 @@ class UnitLengths(dict):
         self.pending = pending = []
         for text in texts:
             before = len(pending)
-            out.append(sum(map(look, UNITS.findall(text))) if text else 0)
+            pieces = pieces_of(text, self.batch_bytes) if text and len(text) > self.batch_bytes else (text,)
+            out.append(sum(sum(map(look, UNITS.findall(piece))) for piece in pieces) if text else 0)
             if len(pending) > before:
                 owed.append((len(out) - 1, before, len(pending)))
         if owed:
@@ -74,18 +81,32 @@ _KNOWN: dict[tuple, UnitLengths] = {}
 
 
 def by_bytes(texts: list[str | None], most: int) -> Iterator[list[str | None]]:
-    """The texts in order, in lists of about `most` characters; a longer text is a list of its own."""
+    """The texts in order, in lists of about `most` bytes; a longer text is a list of its own."""
     part, size = [], 0
     for text in texts:
-        if part and size + len(text or "") > most:
+        n = n_bytes(text or "")
+        if part and size + n > most:
             yield part
             part, size = [], 0
         part.append(text)
-        size += len(text or "")
+        size += n
     if part:
         yield part
 
 
+def pieces_of(text: str, most: int) -> Iterator[str]:
+    """A long text in pieces of about `most` characters, cut only where the pre-tokenizer always cuts: before white space
+    that stands behind another character. A stretch without such a place stays whole."""
+    low = 0
+    while len(text) - low > most:
+        m = CUT.search(text, low + most)
+        if not m:
+            break
+        yield text[low : m.start()]
+        low = m.start()
+    yield text[low:]
+
+
 def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", id: str = "doc_id", limit: int = 1024, batch_bytes: int = 1 << 20, most_units: int = 1_000_000, longest_kept: int = 64) -> DataFrame:
     """One row a row of docs: id, n_bytes, n_tokens, over_limit (n_tokens > limit).
 

@@ -36,6 +36,9 @@ class Settings:
     prior_docs: float = 2.0
     least_docs: int = 5
     share: float = 0.2
+    false_alarm: float = 3.0  # what share of clean texts accepted weighs against a share of toxic texts caught
+    set_aside: int = 8
+    slack: float = 0.02
     seed: int = 7
 
 
@@ -125,7 +128,7 @@ def train(texts: list[str], labels: list[int], s: Settings = Settings()) -> Mode
     value = np.array([n for c in counts for n in c.values()], np.float32)
     total = np.bincount(row, value * n_features[col], len(counts)).astype(np.float32) if len(row) else np.ones(len(counts), np.float32)
     by_word = Rows(row, col, value / np.maximum(total[row], 1), (len(counts), len(lists)))
-    # Only buckets met in several documents are learnt: others can't be told from chance.
+    # Only buckets met several times (a word of a document counts once) are learnt: others can't be told from chance.
     seen = np.bincount(bucket, weights=np.bincount(col, minlength=len(lists))[word_of], minlength=s.buckets)
     live = np.flatnonzero(seen >= s.least_docs)
     place = np.full(s.buckets, -1)
@@ -168,6 +171,29 @@ def train(texts: list[str], labels: list[int], s: Settings = Settings()) -> Mode
     return Model(s, weights, float(off[1] - off[0]))
 
 
+def fitted(texts: list[str], labels: list[int], threshold: float, s: Settings = Settings()) -> Model:
+    """A model of most of the sample, its bias moved so that the best cut on the rest is at the threshold.
+
+    One text in set_aside, drawn, isn't trained on. The best cut on those catches the largest share of toxic texts less
+    false_alarm times the share of clean ones.
+    """
+    drawn = np.random.default_rng(s.seed).permutation(len(texts)).tolist()
+    cut = len(texts) // s.set_aside
+    tried, rest = sorted(drawn[:cut]), sorted(drawn[cut:])
+    y = np.array([labels[k] for k in tried])
+    if len({labels[k] for k in rest}) < 2 or len(set(y.tolist())) < 2:
+        return train(texts, labels, s)
+    model = train([texts[k] for k in rest], [labels[k] for k in rest], s)
+    known = Logits(model, 500_000, 64)
+    logits = np.array([known.logit(texts[k]) for k in tried])
+    order = np.argsort(-logits, kind="stable")
+    gain = np.cumsum(y[order]) / y.sum() - s.false_alarm * np.cumsum(1 - y[order]) / (len(y) - y.sum())
+    # Several cuts may be nearly as good on so few texts: the middle of those is taken.
+    good = np.flatnonzero(gain >= gain.max() - s.slack)
+    cut = float(np.mean(logits[order[good]]))
+    return Model(s, model.weights, model.bias - cut + math.log(threshold / (1 - threshold)))
+
+
 class Logits(dict):
     """word -> the sum of its features' logits, and their number as the imaginary part."""
 
@@ -186,10 +212,12 @@ class Logits(dict):
             self[word] = out
         return out
 
-    def score(self, text: str | None) -> float:
+    def logit(self, text: str | None) -> float:
         total = sum(map(self.__getitem__, words(text)), 0j)
-        logit = self.bias + (total.real / total.imag if total.imag else 0.0)
-        return 1 / (1 + math.exp(-max(-60.0, min(60.0, logit))))
+        return self.bias + (total.real / total.imag if total.imag else 0.0)
+
+    def score(self, text: str | None) -> float:
+        return 1 / (1 + math.exp(-max(-60.0, min(60.0, self.logit(text)))))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", id: str = "doc_id", most_words: int = 500_000, longest_kept: int = 64) -> DataFrame:
@@ -213,6 +241,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int =
     texts enter a score. Without labels of both classes every score is the prior. Repeated rows get equal scores;
     null and empty texts are scored too; an empty table gives an empty table; other columns of docs aren't read.
     """
-    model = train(*training_sample(docs, labels, "toxic", folds, held_out, most_rows, most_chars, text, id), settings)
+    model = fitted(*training_sample(docs, labels, "toxic", folds, held_out, most_rows, most_chars, text, id), threshold, settings)
     out = score(docs, model, text, id)
     return out.select(id, (fold(F.col(id), folds) == held_out).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

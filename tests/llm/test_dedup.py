@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from corpuloom.llm import exact_dedup, simhash
+from corpuloom.llm import exact_dedup, shared, simhash
 from corpuloom.llm.shared import components
 
 
@@ -64,11 +64,57 @@ def test_exact_dedup_keeps_one_of_each(documents, no_documents):
     assert exact_dedup.exact_dedup(no_documents).collect() == []
 
 
-def test_probe_finds_what_the_index_has(documents):
-    runs = exact_dedup.flush_runs(documents)
-    asked = runs.select("digest").distinct()
-    assert exact_dedup.probe(runs, asked).count() == asked.count()
-    assert exact_dedup.probe(runs, asked.select(F.unhex(F.lit("ff")).alias("digest"))).count() == 0
+def entry_rows(rows):
+    return sorted(((r.digest, r.keep.id, r.group_size) for r in rows.collect()), key=repr)
+
+
+def test_batch_by_batch_equals_one_go(spark, documents):
+    entries = exact_dedup.stored(exact_dedup.entries_of(documents, "text", "doc_id"))
+    expected = entry_rows(entries.groupBy("digest").agg(exact_dedup.best().alias("keep"), F.count("*").alias("group_size")))
+    for memtables, fan_out in ((1, 4), (2, 2), (3, 2), (5, 2)):
+        index = exact_dedup.Index(spark, buckets=3, fan_out=fan_out)
+        for k in range(memtables):
+            index.flush(entries.where(F.pmod("row", F.lit(memtables)) == k))
+            assert all(len(level) < fan_out for level in index.levels)
+        assert entry_rows(index.lookup()) == expected
+    second = exact_dedup.indexed(entries, index=exact_dedup.indexed(entries))
+    assert [r[2] for r in entry_rows(second.lookup())] == [2 * r[2] for r in expected]
+
+
+def test_runs_are_merged_without_an_exchange_or_a_sort_of_one_of_them(spark, documents, capsys):
+    entries = exact_dedup.stored(exact_dedup.entries_of(documents, "text", "doc_id"))
+    index = exact_dedup.Index(spark, buckets=3, fan_out=9)
+    for k in range(2):
+        index.flush(entries.where(F.pmod("row", F.lit(2)) == k))
+    index.lookup().explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_a_probe_reads_only_runs_whose_filter_lets_something_through(spark, documents):
+    entries = exact_dedup.stored(exact_dedup.entries_of(documents, "text", "doc_id"))
+    index = exact_dedup.Index(spark, buckets=3, fan_out=9)
+    digests = [r.digest for r in entries.select("digest").distinct().orderBy("digest").collect()]
+    for k in range(4):
+        index.flush(entries.where(F.col("digest").isin(digests[2 * k : 2 * k + 2])))
+    index.runs_read = 0
+    asked = entries.where(F.col("digest") == digests[2]).select("digest").distinct()
+    assert [r.digest for r in index.probe(asked).collect()] == [digests[2]] and index.runs_read == 1
+    index.runs_read = 0
+    assert index.probe(asked.select(F.unhex(F.lit("ff")).alias("digest"))).count() == 0 and index.runs_read == 0
+    everything = entries.select("digest").distinct()
+    assert index.probe(everything).count() == min(8, len(digests))
+
+
+@pytest.mark.parametrize("filter_rows", [1, 1 << 18])
+def test_filters_lose_nothing(spark, filter_rows):
+    rows = spark.range(2000).select(F.xxhash64("id").alias("k"), "id")
+    bloom = shared.filter_of(F.col("k"), rows.where("id < 900"), filter_rows)
+    assert bloom.count() <= filter_rows
+    got = shared.may_hold(rows, F.col("k"), bloom, filter_rows)
+    assert got.where("id < 900 and may_hold").count() == 900 and got.count() == 2000
+    if filter_rows > 1:
+        assert got.where("may_hold").count() < 910
 
 
 def fingerprint(text):
@@ -150,8 +196,6 @@ def test_majority():
 
 
 def test_tables_go_when_told(spark):
-    from corpuloom.llm import shared
-
     table = shared.stored(spark.range(3).toDF("x"))
     assert table.count() == 3
     path = shared._TABLES[-1][1]

@@ -6,13 +6,13 @@ and read again as the docs of the next. All stages but the last return the colum
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from corpuloom.llm import bpe, exact_dedup, mixing, quality, simhash
-from corpuloom.llm.shared import shared_dir
+from corpuloom.llm.shared import drop_tables, tables_written
+from corpuloom.sources.readers import dealt
+from corpuloom.sources.workspace import delete, new_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,10 +54,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over documents; each stage's rows go through a table in the shared folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    root = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    for k, (_, stage) in enumerate(STAGES):
-        out = f"{root}/{k}"
-        stage(spark, docs, sf_dir).write.parquet(out)
-        docs = spark.read.parquet(out)
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES:
+        mark, out = tables_written(), new_path(spark, "pipeline")
+        stage(spark, dealt(docs), sf_dir).write.parquet(out)
+        # What the stage stored on its way, and the stage before, aren't needed any more.
+        drop_tables(spark, mark)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.parquet(out), out
     return docs

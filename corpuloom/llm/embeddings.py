@@ -1,8 +1,9 @@
 """Embedding near-dedup: spherical k-means cells, blocked cosine products within cells.
 
-Equal vectors are folded into one first. Cells come from spherical k-means on a bounded sample; every vector belongs
-to its nearest cell and also visits the cells whose centre is nearly as near, so that links across a border are
-found. Within a cell the members meet the cell's own vectors in blocks of bounded size; a crowded cell is only more
+Equal vectors are folded into one first. Cells come from spherical k-means in two levels: coarse centres from a bounded
+sample on the driver, then the centres within each coarse cell, fitted side by side on the executors from a bounded
+sample of the cell. The number of cells grows with the root of the number of vectors. Every vector belongs to its
+nearest cell and also visits the cells whose centre is nearly as near, so that links across a border are found. Within a cell the members meet the cell's own vectors in blocks of bounded size; a crowded cell is only more
 blocks. A block gives out, for each vector, the number of its links and one neighbour to be connected to, never all
 pairs. A link that two cells can see counts in the one of lower number.
 """
@@ -23,10 +24,16 @@ from corpuloom.llm.shared import attach_by_group, components, stored
 class Settings:
     threshold: float = 0.95
     margin: float = 0.1  # a vector visits the cells whose cosine is at most this below its best
-    most_cells: int = 65_536  # bounds the centres' broadcast: 65,536 x dimension x 4 bytes
+    coarse_margin: float = 0.3  # only cells within the coarse cells that are at most this below its best are looked at
+    most_centre_bytes: int = 256 << 20  # bounds the broadcast of the centres, and with it their number
+    coarse_sample: int = 64  # vectors of the sample a coarse cell
     sample_per_cell: int = 16
+    most_sampled: int = 16_384  # of one coarse cell
+    most_within: int = 1024  # cells of one coarse cell
+    rare: int = 4096  # vectors of a dimension with at most so many vectors are one cell
     rounds: int = 8
-    block: int = 1024
+    block_values: int = 1 << 22  # numbers in one block of a cell's own vectors; four times as many in one of its members
+    block: int | None = None  # rows of a block, for tests
     seed: int = 3
 
 
@@ -56,44 +63,120 @@ def usable(vector: str) -> object:
     return c.isNotNull() & (F.size(c) > 0) & F.coalesce(~bad, F.lit(False)) & F.exists(c, lambda x: x != 0)
 
 
-def fit(vectors: DataFrame, n: int, s: Settings) -> tuple[int, np.ndarray]:
-    """(dimension, centres). The sample is the vectors of least hash, at most sample_per_cell * most_cells of them.
-
-    Vectors of another dimension than the most frequent one share one cell a dimension.
-    """
-    sizes = vectors.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    if not sizes:
-        return 0, np.empty((0, 0), np.float32)
-    d = int(sizes[0]["d"])
-    k = int(min(s.most_cells, max(1, round(2 * sizes[0]["count"] ** 0.5))))
-    rows = vectors.where(F.size("v") == d).orderBy(F.xxhash64("rep"), "rep").limit(s.sample_per_cell * k).select("v").toArrow()
-    sample = unit(np.array(rows.column(0).to_pylist(), np.float64)).astype(np.float32)
-    return d, spherical_kmeans(sample, min(k, len(sample)), s)
+def sampled(vectors: DataFrame, n: int, wanted: int) -> DataFrame:
+    """About `wanted` of n vectors, the same whenever the vectors are: those whose hash is in a part of its range."""
+    return vectors.where(F.pmod(F.xxhash64("rep", F.lit(5)), F.lit(1 << 30)) < int(min(1.0, wanted / max(n, 1)) * (1 << 30)))
 
 
 def matrix(column: pa.Array, d: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
 
 
-def assigned(vectors: DataFrame, d: int, centres: np.ndarray, s: Settings) -> DataFrame:
-    """(cell, home, rep, n, v): a row for every cell that a vector belongs to or visits; home is the one it belongs to."""
-    shared = vectors.sparkSession.sparkContext.broadcast(centres)
-    step = max(1, 8_000_000 // max(1, len(centres)))
+@dataclass
+class Cells:
+    """The centres of one dimension: `within` holds those of the coarse cell k at first[k] up to first[k + 1]."""
+
+    d: int
+    coarse: np.ndarray
+    within: np.ndarray
+    first: np.ndarray
+    offset: int = 0
+
+    def near(self, v: np.ndarray, s: Settings) -> np.ndarray:
+        """Cosines of unit vectors with all centres; -2 where the coarse cell is too far to be looked into."""
+        rough = v @ self.coarse.T
+        open_ = rough >= rough.max(axis=1, keepdims=True) - s.coarse_margin
+        out = np.full((len(v), len(self.within)), -2, np.float32)
+        for k in np.flatnonzero(open_.any(axis=0)):
+            rows = np.flatnonzero(open_[:, k])
+            low, high = self.first[k], self.first[k + 1]
+            out[rows, low:high] = v[rows] @ self.within[low:high].T
+        return out
+
+
+def fit(vectors: DataFrame, n: int, d: int, s: Settings) -> Cells:
+    """Cells of n vectors of dimension d: about twice the root of n, as far as their centres fit most_centre_bytes."""
+    k = int(max(1, min(round(2 * n**0.5), s.most_centre_bytes // (4 * max(d, 64)))))
+    k1 = max(1, round(k**0.5))
+    rows = sampled(vectors, n, s.coarse_sample * k1).select("v").toArrow().column(0).combine_chunks()
+    if not len(rows):
+        rows = vectors.limit(1).select("v").toArrow().column(0).combine_chunks()
+    sample = unit(matrix(rows, d)).astype(np.float32)
+    coarse = spherical_kmeans(sample, min(k1, len(sample)), s)
+    if k <= len(coarse):
+        return Cells(d, coarse, coarse, np.arange(len(coarse) + 1))
+    shared = vectors.sparkSession.sparkContext.broadcast(coarse)
+
+    def cells_of(batches):
+        for batch in batches:
+            if batch.num_rows:
+                at = (unit(matrix(batch.column(1), d)).astype(np.float32) @ shared.value.T).argmax(axis=1)
+                yield pa.record_batch([pa.array(at.astype(np.int64)), *batch.columns], ["cell", "rep", "v"])
+
+    wanted = s.sample_per_cell * k
+    kind = vectors.schema["v"].dataType.simpleString()
+    rough = stored(sampled(vectors, n, wanted).select("rep", "v").mapInArrow(cells_of, f"cell long, rep long, v {kind}"))
+    sizes = {r["cell"]: r["count"] for r in rough.groupBy("cell").count().collect()}  # a row a coarse cell
+    total = max(1, sum(sizes.values()))
+    share = {c: min(s.most_within, max(1, round(k * m / total))) for c, m in sizes.items()}
+    kept = F.lit(1.0)
+    crowded = {c: s.most_sampled / m for c, m in sizes.items() if m > s.most_sampled}  # fewer than wanted / most_sampled
+    for c, part in crowded.items():
+        kept = F.when(F.col("cell") == c, F.lit(part)).otherwise(kept)
+    rough = rough.where(F.pmod(F.xxhash64("rep", F.lit(6)), F.lit(1 << 30)) < kept * (1 << 30))
+
+    def centres_of(table: pa.Table) -> pa.Table:
+        cell = table.column("cell")[0].as_py()
+        found = spherical_kmeans((own := unit(matrix(table.column("v").combine_chunks(), d)).astype(np.float32)), min(share[cell], len(own)), s)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, found.size + 1, d, dtype=np.int32)), pa.array(found.ravel()))
+        return pa.table({"cell": pa.array([cell] * len(found), pa.int64()), "centre": lists})
+
+    # The centres alone come to the driver, at most most_centre_bytes of them.
+    found = rough.groupBy("cell").applyInArrow(centres_of, "cell long, centre array<float>").toArrow().sort_by("cell")
+    cell = found.column("cell").to_numpy()
+    within = found.column("centre").combine_chunks().flatten().to_numpy().reshape(-1, d)
+    missing = np.setdiff1d(np.arange(len(coarse)), cell)  # a coarse cell without any sampled vector is one cell
+    cell, within = np.concatenate([cell, missing]), np.concatenate([within, coarse[missing]])
+    order = np.argsort(cell, kind="stable")
+    return Cells(d, coarse, np.ascontiguousarray(within[order]), np.searchsorted(cell[order], np.arange(len(coarse) + 1)))
+
+
+def assigned(vectors: DataFrame, cells: Cells, s: Settings) -> DataFrame:
+    """(cell, home, rep, n, v, cells): a row for every cell that a vector belongs to or visits; home is the one it belongs to."""
+    shared = vectors.sparkSession.sparkContext.broadcast(cells)
+    step = max(1, 8_000_000 // max(1, len(cells.within)))
 
     def placed(batches):
+        own = shared.value
         for batch in batches:
             for low in range(0, batch.num_rows, step):
                 part = batch.slice(low, step)
-                near = unit(matrix(part.column(2), d)).astype(np.float32) @ shared.value.T
-                home = near.argmax(axis=1)
+                near = own.near(unit(matrix(part.column(2), own.d)).astype(np.float32), s)
+                home = near.argmax(axis=1) + own.offset
                 row, cell = np.nonzero(near >= near.max(axis=1, keepdims=True) - s.margin)
+                cell = cell + own.offset
                 visited = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)), pa.array(cell.astype(np.int64)))
                 out = part.append_column("cells", visited).take(pa.array(row))
                 yield pa.record_batch([pa.array(cell.astype(np.int64)), pa.array(home[row].astype(np.int64)), *out.columns], ["cell", "home", "rep", "n", "v", "cells"])
 
-    main = vectors.where(F.size("v") == d).select("rep", "n", "v").mapInArrow(placed, f"cell long, home long, rep long, n long, v {vectors.schema['v'].dataType.simpleString()}, cells array<long>")
+    return vectors.select("rep", "n", "v").mapInArrow(placed, f"cell long, home long, rep long, n long, v {vectors.schema['v'].dataType.simpleString()}, cells array<long>")
+
+
+def all_assigned(vectors: DataFrame, s: Settings) -> DataFrame:
+    """The same for vectors of every dimension. Those of a rare dimension are one cell; every other has cells of its own."""
+    sizes = vectors.groupBy(F.size("v").alias("d")).count().collect()  # a row a dimension
+    often = sorted(((r["d"], r["count"]) for r in sizes if r["count"] > s.rare))
     other = (-F.size("v")).cast("long")
-    return main.unionByName(vectors.where(F.size("v") != d).select(other.alias("cell"), other.alias("home"), "rep", "n", "v", F.array(other).alias("cells")))
+    rest = vectors.where(~F.size("v").isin([d for d, _ in often])) if often else vectors
+    out = rest.select(other.alias("cell"), other.alias("home"), "rep", "n", "v", F.array(other).alias("cells"))
+    offset = 0
+    for d, n in often:
+        own = vectors.where(F.size("v") == d)
+        cells = fit(own, n, d, s)
+        cells.offset = offset
+        offset += len(cells.within)
+        out = out.unionByName(assigned(own, cells, s))
+    return out
 
 
 def compared(table: pa.Table, s: Settings) -> pa.Table:
@@ -105,7 +188,7 @@ def compared(table: pa.Table, s: Settings) -> pa.Table:
     v = unit(matrix(lists, len(lists[0])))
     left, right = np.flatnonzero(~own), np.flatnonzero(own)
     a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for part in (left[k : k + s.block] for k in range(0, len(left), s.block)):
+    for part in (left[k : k + 1024] for k in range(0, len(left), 1024)):
         i, j = np.nonzero(v[part] @ v[right].T >= s.threshold)
         ok = rep[part[i]] != rep[right[j]]
         a.append(part[i[ok]])
@@ -149,10 +232,8 @@ def near_dedup(rows: DataFrame, vector: str = "embedding", id: str = "vec_id", s
     all_rows = rows.select(F.col(id).cast("long").alias("id"), F.when(usable(vector) & F.col(id).isNotNull(), F.col(vector)).alias("v"))
     all_rows = stored(all_rows)
     vectors = stored(all_rows.where("v is not null").groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
-    n = vectors.count()
-    d, centres = fit(vectors, n, s)
-    if n:
-        links = linked(vectors, d, centres, s)
+    if vectors.limit(1).count():
+        links = linked(vectors, s)
         degree = links.groupBy("rep").agg(F.sum("links").alias("others"))
         member = components(links.select("rep", "neighbour").where("rep <> neighbour"))
         groups = vectors.join(degree, "rep", "left").join(member.withColumnRenamed("node", "rep"), "rep", "left")
@@ -164,11 +245,12 @@ def near_dedup(rows: DataFrame, vector: str = "embedding", id: str = "vec_id", s
     return out.select(F.col("id").alias(id), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
-def linked(vectors: DataFrame, d: int, centres: np.ndarray, s: Settings) -> DataFrame:
+def linked(vectors: DataFrame, s: Settings) -> DataFrame:
     """(rep, links, neighbour): links add up over the rows of a rep; the neighbours connect what is linked."""
-    placed = stored(assigned(vectors, d, centres, s))
-    # At most most_cells rows and one a dimension: the sizes are small enough to broadcast whatever the corpus.
-    sizes = F.broadcast(placed.groupBy("cell").agg(F.ceil(F.sum((F.col("cell") == F.col("home")).cast("long")) / s.block).cast("int").alias("own_blocks"), F.ceil(F.count("*") / (4 * s.block)).cast("int").alias("blocks")))
+    placed = stored(all_assigned(vectors, s))
+    rows = F.least(F.lit(16_384), F.greatest(F.lit(256), F.floor(F.lit(s.block_values) / F.size("v")))) if s.block is None else F.lit(s.block)
+    # A row a cell: about twice the root of the number of vectors, so small enough to broadcast whatever the corpus.
+    sizes = F.broadcast(placed.groupBy("cell").agg(F.ceil(F.sum((F.col("cell") == F.col("home")).cast("long")) / F.first(rows)).cast("int").alias("own_blocks"), F.ceil(F.count("*") / (4 * F.first(rows))).cast("int").alias("blocks")))
     sized = placed.join(sizes, "cell").where("own_blocks > 0")
     columns = ["cell", "home", "rep", "n", "v", "cells"]
     own = sized.where("cell = home").select(F.lit(True).alias("own"), *columns, F.pmod(F.xxhash64("rep", F.lit(1)), F.col("own_blocks")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))

@@ -28,8 +28,8 @@ def vectors():
 def test_against_brute_force(spark, vectors):
     table = spark.createDataFrame([(*r, 1) for r in vectors], "vec_id long, embedding array<float>, rep int")
     expected = by_hand(vectors)
-    for block in (1024, 16):
-        got = embeddings.near_dedup(table, settings=embeddings.Settings(block=block)).collect()
+    for settings in (embeddings.Settings(), embeddings.Settings(block=16, rare=1), embeddings.Settings(rare=300, most_within=3, most_sampled=40)):
+        got = embeddings.near_dedup(table, settings=settings).collect()
         assert all(r.kept == (r.vec_id == r.component_id) for r in got)
         found = sorted((r.vec_id, r.n_links, r.component_id) for r in got)
         assert [f[0] for f in found] == [e[0] for e in expected]
@@ -43,3 +43,22 @@ def test_empty_null_and_single(spark):
     got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in embeddings.near_dedup(table).collect()), key=repr)
     assert got == [(5, 1, 5, True), (5, 1, 5, True), (None, 0, None, True)]
     assert embeddings.near_dedup(table.where("false")).collect() == []
+
+
+@pytest.mark.parametrize("d", [64, 768])
+def test_recall_of_links_at_the_threshold(spark, d):
+    """Pairs drawn at a cosine of 0.951 among clustered vectors, found in cells fitted over the table itself."""
+    rng = np.random.default_rng(d)
+    centres = embeddings.unit(rng.normal(size=(40, d)))
+    a = embeddings.unit(centres[rng.integers(0, 40, 3000)] + rng.normal(size=(3000, d)) * 0.8 / d**0.5)
+    away = rng.normal(size=a.shape)
+    away = embeddings.unit(away - (away * a).sum(axis=1, keepdims=True) * a)
+    b = 0.951 * a + (1 - 0.951**2) ** 0.5 * away
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate([a, b]))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embeddings.near_dedup(table, settings=embeddings.Settings(rare=100)).collect()}
+    every = np.concatenate([a, b])
+    truth = (every @ every.T >= 0.95).sum(axis=1) - 1
+    recall = sum(got.values()) / truth.sum()
+    print(f"d {d}: {truth.sum()} links, recall {recall:.4f}")
+    assert all(got[k] <= t for k, t in enumerate(truth)) and recall >= 0.98

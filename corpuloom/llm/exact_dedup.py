@@ -143,15 +143,17 @@ def indexed(entries: DataFrame, memtables: int = 2, index: Index | None = None)
     return index
 
 
-def verified(docs: DataFrame, hits: DataFrame, text: str, id: str, digest: Callable[[Column], Column]) -> DataFrame:
+def verified(docs: DataFrame, entries: DataFrame, hits: DataFrame, text: str, id: str, digest: Callable[[Column], Column]) -> DataFrame:
     """The classes of the hits by the texts' bytes: (digest, body, keep, group_size), one row a class.
 
-    A filter of the hits' digests keeps the texts of others where they are; what passes is folded by its bytes, map-side
-    first, and only then joined with the hits.
+    A filter of the row keys of the hits' entries keeps other texts where they are, unstripped and undigested; what
+    passes is folded by its bytes, map-side first, and only then joined with the hits.
     """
-    key = stripped(F.col(text))
-    rows = docs.select(F.col(id).alias("id"), key.alias("body"), F.coalesce(F.char_length(text), F.lit(0)).alias("chars"))
-    rows = may_hold(rows.withColumn("digest", digest(F.col("body"))), slot(), filter_of(slot(), hits)).where("may_hold")
+    hit = entries.join(hits.hint("merge"), "digest", "left_semi").select("row")
+    key = stripped(F.col("text"))
+    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), row_key(text).alias("row"))
+    rows = may_hold(rows, F.coalesce("row", F.lit(0).cast("long")), filter_of(F.coalesce("row", F.lit(0).cast("long")), hit)).where("may_hold")
+    rows = rows.select("id", key.alias("body"), F.coalesce(F.char_length("text"), F.lit(0)).alias("chars")).withColumn("digest", digest(F.col("body")))
     classes = rows.groupBy("digest", "body").agg(best().alias("keep"), F.count("*").alias("group_size"))
     return classes.join(hits.select("digest").hint("merge"), "digest", "left_semi")
 
@@ -171,7 +173,7 @@ def with_keepers(docs: DataFrame, text: str, id: str, digest: Callable[[Column],
     runs = stored(entries_of(docs, text, id, digest))
     n_rows = runs.count()
     hits = stored(indexed(runs).lookup().where("group_size > 1").select("digest"))
-    classes = stored(verified(docs, hits, text, id, digest).withColumn("body", F.sha2("body", 512)))
+    classes = stored(verified(docs, runs, hits, text, id, digest).withColumn("body", F.sha2("body", 512)))
     ambiguous = classes.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
     clean = classes.join(ambiguous, "digest", "left_anti").select("digest", F.col("keep.id").alias("keep_id"), "group_size")
     n_ambiguous = ambiguous.count()

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from corpuloom.llm import html, urls
@@ -90,6 +92,41 @@ def test_long_chains_and_hubs(spark):
     assert len(got) == 420 and all(r.verdict == "block" for r in got)
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_verdicts_on_random_graphs_against_union_find(spark, seed):
+    """Random redirects and canonical links among urls of ruled and open hosts; also columns that clash with inner names."""
+    rnd = random.Random(seed)
+    hosts = ["a.org", "b.org", "c.org", "x.net", "q.com", "www.example.com", "example.com"]
+    urls_ = [f"http://{rnd.choice(hosts)}/{rnd.choice(['es', 'fr', 'en', 'x'])}/{k}" for k in range(160)]
+    links = [(u, rnd.choice(urls_)) for u in rnd.sample(urls_, 70)]
+    redirects = [(rnd.choice(urls_), rnd.choice(urls_)) for _ in range(20)]
+    to = dict(links)
+    pages = [(k, u, f"<head><link rel=canonical href='{to[u]}'></head>" if u in to else None, "v", 1) for k, u in enumerate(urls_)]
+    parent = {u: u for u in urls_}
+
+    def find(u):
+        while parent[u] != u:
+            u = parent[u]
+        return u
+
+    for a, b in links + redirects:
+        parent[find(a)] = find(b)
+    index = urls.rule_index(RULES)
+    own = {u: urls.decide(index, *u[7:].split("/", 1)[:1], "/" + u[7:].split("/", 1)[1]) for u in urls_}
+    classes = {}
+    for u in urls_:
+        classes.setdefault(find(u), []).append(own[u][1])
+    expected = []
+    for k, u in enumerate(urls_):
+        aliases = classes[find(u)]
+        verdict = own[u][1] or ("block" if "block" in aliases and "allow" not in aliases else "allow")
+        expected.append((k, own[u][0], verdict))
+    table = spark.createDataFrame(pages, "page_id long, url string, html string, node string, rule int")
+    got = urls.judge(table, RULES, spark.createDataFrame(redirects, "u string, v string")).collect()
+    assert sorted((r.page_id, r.rule, r.verdict) for r in got) == expected
+    assert {v for _, r, v in expected if r is None} == {"allow", "block"}
+
+
 def test_rules_are_checked():
     with pytest.raises(ValueError):
         urls.rule_index([urls.Rule("maybe", "com", "/")])

@@ -1,3 +1,4 @@
+import random
 import hashlib
 
 import public_tokenizers
@@ -77,3 +78,16 @@ def test_encode_then_decode(documents):
     texts = {r.doc_id: r.text for r in documents.collect()}
     for r in bpe.decode_ids(ids, WORDS).collect():
         assert r.text == WORD_LIBRARY.decode(WORD_LIBRARY.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, skip_special_tokens=False)
+
+
+def test_long_texts_in_pieces_count_the_same():
+    rnd = random.Random(5)
+    parts = ["a", "word", "é", "日本", " ", "  ", "\n", "\t", " ", "　", ".", "'s", "12"]
+    whole = token_counts.UnitLengths(public_tokenizers.path("byte_bpe_50k.json"), 1 << 20, 1000, 64)
+    small = token_counts.UnitLengths(public_tokenizers.path("byte_bpe_50k.json"), 16, 1000, 64)
+    for _ in range(300):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 200)))
+        assert "".join(token_counts.pieces_of(text, 16)) == text
+        n = len(whole.tokenizer.encode(text, add_special_tokens=False).ids)
+        assert small.lengths([text]) == whole.lengths([text]) == [n]
+    assert [sum(token_counts.n_bytes(t or "") for t in p) for p in token_counts.by_bytes(["ab", "日本", "x" * 9, None], 6)] == [2, 6, 9, 0]

@@ -87,8 +87,8 @@ def sentence_steps(source: str) -> str:
     return ", ".join(out)
 
 
-def pair_steps(cutoff: int | None, chosen: str = "TRUE") -> str:
-    """A chain of CTEs from words to pairs(w, v, cnt); chosen: a condition on w."""
+def pair_steps(cutoff: int | None, chosen: str = "TRUE", lines: str = "TRUE") -> str:
+    """A chain of CTEs from words to pairs(w, v, cnt); chosen: a condition on w; lines: on the lines that make pairs."""
     words = "words" if not cutoff else "coalesce(kept, []::VARCHAR[])"
     kept = ""
     if cutoff:
@@ -100,7 +100,7 @@ def pair_steps(cutoff: int | None, chosen: str = "TRUE") -> str:
     return (
         f"uni AS MATERIALIZED ({grams(1)}), {kept}near AS (SELECT words, list_distinct(list_concat(list_concat("
         "coalesce(lag(words) OVER o, []::VARCHAR[]), words), coalesce(lead(words) OVER o, []::VARCHAR[]))) AS context "
-        f"FROM {source} WHERE strlen(line) < 8192 WINDOW o AS (PARTITION BY doc_id ORDER BY line_id)), "
+        f"FROM {source} WHERE {lines} WINDOW o AS (PARTITION BY doc_id ORDER BY line_id)), "
         "occ AS (SELECT unnest(words) AS w, context FROM near), pairs AS MATERIALIZED (SELECT w, v, count(*) AS cnt FROM (SELECT w, unnest(context) AS v FROM occ WHERE " + chosen + ") GROUP BY w, v)"
     )
 
@@ -174,7 +174,7 @@ def oracles(cutoff: int) -> dict[str, str]:
         "collocations_by_word": f"{base}, {pair_steps(None)} SELECT w, count(*) AS partners, sum(cnt)::BIGINT AS cnt FROM pairs GROUP BY w",
         "collocations_frequent": f"{base}, {pair_steps(cutoff)} SELECT w, v, cnt FROM pairs",
         "association_cutoff": f"{base}, {pair_steps(cutoff)}, {SCORED.format(cutoff=cutoff)} SELECT round(norm_mi, 6) AS norm_mi, round(mi, 4) AS mi, cnt, w, v FROM normed",
-        "association_top": f"{base}, {pair_steps(None, 'w IN (SELECT ngram FROM uni ORDER BY cnt DESC, ngram LIMIT 20)')}, {SCORED.format(cutoff=0)} SELECT w, v, cnt, place FROM (SELECT *, row_number() OVER (PARTITION BY w ORDER BY round(mi, 4) DESC, v) AS place FROM normed WHERE w IN (SELECT ngram FROM uni ORDER BY cnt DESC, ngram LIMIT 20)) WHERE place <= 10",
+        "association_top": f"{base}, {pair_steps(None, 'w IN (SELECT ngram FROM uni ORDER BY cnt DESC, ngram LIMIT 20)', 'strlen(line) < 8192')}, {SCORED.format(cutoff=0)} SELECT w, v, cnt, place FROM (SELECT *, row_number() OVER (PARTITION BY w ORDER BY round(mi, 4) DESC, v) AS place FROM normed WHERE w IN (SELECT ngram FROM uni ORDER BY cnt DESC, ngram LIMIT 20)) WHERE place <= 10",
         "collocations_paragraphs": f"WITH {TALK_STEPS} SELECT w, v, cnt FROM pairs",
         "association_uncut": f"WITH {TALK_STEPS}, {SCORED.format(cutoff=0)} SELECT round(norm_mi, 6) AS norm_mi, round(mi, 4) AS mi, cnt, w, v FROM normed",
         "association_rejects": f"WITH {TALK_STEPS}, known AS (SELECT ngram FROM uni WHERE cnt >= 3) SELECT w, v, cnt FROM pairs WHERE w NOT IN (SELECT ngram FROM known) OR v NOT IN (SELECT ngram FROM known)",

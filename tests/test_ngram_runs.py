@@ -73,3 +73,13 @@ def test_packed_runs_are_shuffled(spark, tmp_path, name):
     rows = catalogue.QUERIES[name](spark, str(tmp_path))
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapGroupsInArrow" in plan and not any(x in plan for x in ("Generate", "HashAggregate")) and not rows.isEmpty()
+
+
+def test_steps_of_the_tokenizer_are_run_once(spark, tmp_path):
+    spark.createDataFrame([(1, "Dr. No (not here) said: 1,000 a.m. Yes! 'tis it.\n\nNo; no.")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = catalogue.token_bigrams(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    marks = [line.count("[A-Z][a-z]") for line in plan.splitlines() if "[A-Z][a-z]" in line]
+    assert marks == [1, 1]  # one pass for sentences and one for tokens, in a column of its own
+    assert "FlatMapGroupsInArrow" in plan and "Aggregate" not in plan
+    assert {r.ngram for r in rows.collect()} >= {"1,000 a.m.", "<s> tis", "no </s>"}

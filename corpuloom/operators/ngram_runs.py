@@ -131,6 +131,10 @@ def runs_of(texts, n: int, groups: int):
         yield pa.record_batch([pa.array(some, pa.int32()), pa.array(out, pa.binary())], ["g", "run"])
 
 
+def bytes_of(texts: DataFrame, column: str = "text") -> int:
+    return texts.agg(F.sum(F.octet_length(column)).cast("long")).first()[0] or 0
+
+
 def counts(texts: DataFrame, n: int = 2, column: str = "text", letters: int | None = None, least: int = 1) -> DataFrame:
     """(ngram, cnt) of at least `least` occurrences, as ngrams.ngram_counts() gives them of the words of each line of the texts.
 
@@ -139,7 +143,7 @@ def counts(texts: DataFrame, n: int = 2, column: str = "text", letters: int | No
     if n < 1:
         raise ValueError("n must be at least 1")
     if letters is None:
-        letters = texts.agg(F.sum(F.octet_length(column)).cast("long")).first()[0] or 0
+        letters = bytes_of(texts, column)
     groups = max(texts.sparkSession.sparkContext.defaultParallelism, -(-letters // GROUP_BYTES))
 
     def run(batches):

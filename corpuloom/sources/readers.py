@@ -9,13 +9,28 @@ from corpuloom.functions.text import count_of, key_of
 
 
 
+def row_groups(df: DataFrame, most: int) -> int:
+    """Row groups of a Parquet table of fewer than `most` files, by their footers; of any other table `most`, nothing read."""
+    files, spark = df.inputFiles(), df.sparkSession
+    if not 0 < len(files) < most or not all(x.endswith(".parquet") for x in files):
+        return most
+    jvm, conf, n = spark._jvm, spark._jsc.hadoopConfiguration(), 0
+    for name in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(path, conf))
+        n += reader.getRowGroups().size()
+        reader.close()
+    return n
+
+
 def dealt(df: DataFrame) -> DataFrame:
     """df, dealt out over the cores if it is read in fewer parts than there are cores; no row is dropped or changed.
 
-    A file of one row group is one task whatever its size; a table of many files is left as it is.
+    A row group is read by one task, whatever its size and however many splits its file is cut into: the other splits are
+    empty. A table of many files is left as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    cores, parts = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    return df.repartition(max(cores, parts)) if parts < cores or row_groups(df, cores) < cores else df
 
 
 PAGE = "title string, redirect struct<_title: string, _VALUE: string>, revision array<struct<text: string>>"
